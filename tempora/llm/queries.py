@@ -15,8 +15,21 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(docs, keep_text=False)
 
 
+def op9_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every text of documents, written to wavelet-matrix shards and read back."""
+    import public_tokenizers
+
+    from .storage import shared_folder
+    from .wavelet import read_digests, write_shards
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    manifest = write_shards(docs, shared_folder(spark), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return read_digests(manifest)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_substring_dedup": op6_substring_dedup,
+    "op9_wavelet_tokens": op9_wavelet_tokens,
 }
 
 ORACLE_SQL: dict[str, str] = {}
