@@ -7,6 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 
+def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate group of every document."""
+    from .minhash import near_duplicates
+
+    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words under a repeated window of 35 words, removed from every text of documents."""
     from .substring import remove_repeats
@@ -28,6 +35,7 @@ def op9_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op6_substring_dedup": op6_substring_dedup,
     "op9_wavelet_tokens": op9_wavelet_tokens,
 }
