@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,6 +15,19 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
 
 
+def op2_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text of documents as sampled pieces, and whether decoding them gives the text back."""
+    import public_tokenizers
+
+    from .pieces import decode, encode
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+    back = decode(encode(docs, model, drop_text=True), model)
+    digest = F.sha2("decoded", 256)
+    return back.select("doc_id", F.size("piece_ids").alias("n_pieces"), "piece_ids", digest.alias("decoded_sha256"), (digest == F.col("text_sha256")).alias("lossless"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words under a repeated window of 35 words, removed from every text of documents."""
     from .substring import remove_repeats
@@ -36,6 +50,7 @@ def op9_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op2_sampled_pieces": op2_sampled_pieces,
     "op6_substring_dedup": op6_substring_dedup,
     "op9_wavelet_tokens": op9_wavelet_tokens,
 }
