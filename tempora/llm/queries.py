@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import mixing, topk
+
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate group of every document."""
@@ -36,6 +38,22 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(docs, keep_text=False)
 
 
+def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best inner products of every fiftieth vector with all others."""
+    from .topk import top_k
+
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    return top_k(rows, rows.where(F.col("vec_id") % 50 == 0), k=5)
+
+
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document a mix of all sources takes."""
+    from .mixing import mix_copies, word_count
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", word_count("text").alias("size"))
+    return mix_copies(docs).select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
 def op9_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every text of documents, written to wavelet-matrix shards and read back."""
     import public_tokenizers
@@ -52,7 +70,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_sampled_pieces": op2_sampled_pieces,
     "op6_substring_dedup": op6_substring_dedup,
+    "op7_top_k": op7_top_k,
+    "op8_source_mixing": op8_source_mixing,
     "op9_wavelet_tokens": op9_wavelet_tokens,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op7_top_k": topk.ORACLE_SQL,
+    "op8_source_mixing": mixing.ORACLE_SQL,
+}
