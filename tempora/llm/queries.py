@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, topk
+from . import mixing, topk, warc
 
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,6 +30,16 @@ def op2_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", F.size("piece_ids").alias("n_pieces"), "piece_ids", digest.alias("decoded_sha256"), (digest == F.col("text_sha256")).alias("lossless"))
 
 
+def op3_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written as a WARC record and read back."""
+    from .storage import shared_folder
+    from .warc import read_archives, write_archives
+
+    folder = shared_folder(spark)
+    write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html"), folder)
+    return read_archives(spark, folder).select("page_id", "payload_bytes", "payload_digest", F.col("warc_type").alias("record_type"), "refers_to")
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words under a repeated window of 35 words, removed from every text of documents."""
     from .substring import remove_repeats
@@ -69,6 +79,7 @@ def op9_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_sampled_pieces": op2_sampled_pieces,
+    "op3_warc_archives": op3_warc_archives,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_top_k": op7_top_k,
     "op8_source_mixing": op8_source_mixing,
@@ -76,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_warc_archives": warc.ORACLE_SQL,
     "op7_top_k": topk.ORACLE_SQL,
     "op8_source_mixing": mixing.ORACLE_SQL,
 }
