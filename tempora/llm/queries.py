@@ -40,6 +40,13 @@ def op3_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_archives(spark, folder).select("page_id", "payload_bytes", "payload_digest", F.col("warc_type").alias("record_type"), "refers_to")
 
 
+def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Similarity digests of every document and of its edited text."""
+    from .fingerprint import compare_with_edits
+
+    return compare_with_edits(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words under a repeated window of 35 words, removed from every text of documents."""
     from .substring import remove_repeats
@@ -80,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_sampled_pieces": op2_sampled_pieces,
     "op3_warc_archives": op3_warc_archives,
+    "op4_document_fingerprints": op4_document_fingerprints,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_top_k": op7_top_k,
     "op8_source_mixing": op8_source_mixing,
