@@ -47,6 +47,15 @@ def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_with_edits(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every document."""
+    from .quality import held_out, score, train
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), modulus=3, held=1)
+    return score(docs, model).select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words under a repeated window of 35 words, removed from every text of documents."""
     from .substring import remove_repeats
@@ -83,15 +92,27 @@ def op9_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_digests(manifest)
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity score of every document."""
+    from .quality import held_out
+    from .toxicity import score, train
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), modulus=4, held=2)
+    return score(docs, model).select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_sampled_pieces": op2_sampled_pieces,
     "op3_warc_archives": op3_warc_archives,
     "op4_document_fingerprints": op4_document_fingerprints,
+    "op5_quality_rules": op5_quality_rules,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_top_k": op7_top_k,
     "op8_source_mixing": op8_source_mixing,
     "op9_wavelet_tokens": op9_wavelet_tokens,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {
