@@ -63,8 +63,7 @@ def offset(source: str, seed: int = 0) -> Column:
 
 def mix_copies(rows: DataFrame, size: str = "size", source: str = "source", key: str = "doc_id", *, weights: tuple[int, ...] = WEIGHTS, seed: int = 0) -> DataFrame:
     """rows with source_size, target and copies (0, 1 or 2 times the row goes into the mix)."""
-    clash = [c for c in rows.columns if c in ("source_size", "target", "copies")]
-    base = rows.drop(*clash)
+    base = rows.drop("source_size", "target", "copies")
     spark = rows.sparkSession
     order = [F.col(source).asc_nulls_last(), F.col(size), F.col(key)]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -75,9 +74,9 @@ def mix_copies(rows: DataFrame, size: str = "size", source: str = "source", key:
     counts = stash(counts)
     before = Window.partitionBy(source).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0)))
-    per_source = targets(counts.groupBy(source).agg(F.sum("__size").alias("source_size")), source, weights).withColumn("__offset", offset(source, seed)).withColumnRenamed(source, "__source")
-    joined = starts.join(per_source, F.col(source).eqNullSafe(F.col("__source"))).select(F.col(source).alias("__source"), F.col("__part").alias("__p"), "__first", "__before", "source_size", "target", "__offset")
-    out = placed.join(joined, F.col(source).eqNullSafe(F.col("__source")) & (F.col("__part") == F.col("__p")))
+    per_source = targets(counts.groupBy(source).agg(F.sum("__size").alias("source_size")), source, weights).withColumn("__offset", offset(source, seed)).withColumnRenamed(source, "__of")
+    joined = starts.join(per_source, F.col(source).eqNullSafe(F.col("__of"))).select(F.col(source).alias("__for"), F.col("__part").alias("__p"), "__first", "__before", "source_size", "target", "__offset")
+    out = placed.join(joined, F.col(source).eqNullSafe(F.col("__for")) & (F.col("__part") == F.col("__p")))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size").cast("double")).otherwise(F.lit(0.0))
     rank = F.col("__pos") - F.col("__first") + F.col("__before") + 1
     upto = lambda r: F.floor(r.cast("double") * rate + F.col("__offset"))
@@ -85,6 +84,20 @@ def mix_copies(rows: DataFrame, size: str = "size", source: str = "source", key:
     return out.select(*[f"`{c}`" for c in base.columns], "source_size", "target", copies.alias("copies"))
 
 
+def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id", *, weights: tuple[int, ...] = WEIGHTS, seed: int = 0) -> DataFrame:
+    """The rows of docs, each as often as the mix takes it. Rows that repeat in all columns are taken alike.
+
+    Only ids, a hash of the row, sources and sizes are ranked; texts move once, in the join with the copies.
+    """
+    tagged = docs.withColumn("__row", F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
+    light = tagged.select(F.col(key).alias("__key"), "__row", F.col(source).alias("__source"), word_count(text).alias("__size"))
+    units = light.groupBy("__key", "__row", "__source").agg(F.sum("__size").alias("__size"))
+    copies = mix_copies(units, "__size", "__source", "__key", weights=weights, seed=seed).where("copies > 0").select("__key", F.col("__row").alias("__r"), "copies")
+    joined = tagged.join(copies, F.col(key).eqNullSafe(F.col("__key")) & (F.col("__row") == F.col("__r")))
+    repeated = joined.withColumn("__again", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return repeated.select(*[f"`{c}`" for c in docs.columns])
+
+
 #: The same in SQL. Ranks by a window, which one engine on one machine may do.
 ORACLE_SQL = r"""
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
