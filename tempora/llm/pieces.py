@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from .arrays import byte_values, memo, mix, prefix_sums, range_hashes, row_keys, slices, strings, uniform, utf8
 from .units import ranges
 
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 19
 RANK_SHIFT = 2.7
 
 _U = np.uint64
@@ -116,49 +116,48 @@ class Lattices:
             length.append(np.full(len(at), size))
             piece.append(found)
         # characters without a piece: spelled in bytes
-        bounds = np.append(starts_char, total)
-        width = np.diff(bounds)
+        width = np.zeros(total, np.int32)
+        width[starts_char] = np.diff(np.append(starts_char, total))
         covered = np.zeros(total, bool)
-        for p, size in zip(begin_at, length, strict=True):
-            if len(p):
-                one = width[np.searchsorted(starts_char, p)] == size
-                covered[p[one]] = True
-        bare = ~covered[starts_char]
-        p, size = starts_char[bare], width[bare]
+        for p, size in zip(begin_at, model.lengths, strict=True):
+            covered[p[width[p] == size]] = True
+        p = starts_char[~covered[starts_char]]
         begin_at.append(p)
-        length.append(size)
+        length.append(width[p])
         piece.append(np.full(len(p), -1, np.int32))
         begin, length, piece = np.concatenate(begin_at), np.concatenate(length), np.concatenate(piece)
+        # edges in order of the node they end at, and there of length, so the order is the same however units come together
+        owner = unit[begin] if total else begin
+        order = np.argsort((begin + length + owner) * 64 + np.minimum(length, 63))
+        begin, length, piece, owner = begin[order], length[order], piece[order], owner[order]
         weight = np.where(piece >= 0, -alpha * model.log_rank[piece], -alpha * np.log(model.size + RANK_SHIFT) * length)
         self.values = np.concatenate([np.arange(model.size, dtype=np.int32), model.byte_ids[data]])
-        source = np.where(piece >= 0, piece, model.size + begin)
-        count = np.where(piece >= 0, 1, length)
-        owner = unit[begin] if total else begin
-        from_node, to_node = begin + owner, begin + length + owner
+        self.source = np.where(piece >= 0, piece, model.size + begin)
+        self.count = np.where(piece >= 0, 1, length)
+        self.from_node, to_node = begin + owner, begin + length + owner
         depth = begin + length - starts[owner]
-        # edges of a node are told apart by their length, so the order is the same however units come together
-        order = np.argsort((depth * (total + n) + to_node) * 64 + np.minimum(length, 63))
-        from_node, to_node, weight = from_node[order], to_node[order], weight[order]
         forward = np.full(total + n, -np.inf)
         forward[starts[:-1] + np.arange(n)] = 0.0
-        depth = depth[order]
+        by_depth = np.argsort(depth.astype(np.uint16) if total < 1 << 16 or depth.max() < 1 << 16 else depth, kind="stable")
+        depth, from_node, to, weight = depth[by_depth], self.from_node[by_depth], to_node[by_depth], weight[by_depth]
         cuts = np.flatnonzero(np.diff(depth, prepend=-1, append=-1))
-        log_q = np.empty(len(order))
+        share = np.empty(len(depth))
+        new = np.diff(to, prepend=-1) != 0  # nodes of one depth lie together, each with its edges
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
             x = forward[from_node[a:b]] + weight[a:b]
-            to = to_node[a:b]
-            first = np.flatnonzero(np.diff(to, prepend=-1))
+            first = np.flatnonzero(new[a:b])
+            first = first if len(first) and first[0] == 0 else np.append(0, first)
             top = np.maximum.reduceat(x, first)
             top[top == -np.inf] = 0.0
             sizes = np.diff(np.append(first, b - a))
             e = np.exp(x - np.repeat(top, sizes))
             s = np.add.reduceat(e, first)
             with np.errstate(divide="ignore"):
-                forward[to[first]] = top + np.log(s)
-            log_q[a:b] = e / np.repeat(np.maximum(s, 1e-300), sizes)
-        again = np.argsort(to_node * 64 + np.minimum(length[order], 63))
-        to_node = to_node[again]
-        q = np.cumsum(log_q[again])
+                forward[to[a:b][first]] = top + np.log(s)
+            share[a:b] = e / np.repeat(np.maximum(s, 1e-300), sizes)
+        posterior = np.empty(len(share))
+        posterior[by_depth] = share
+        q = np.cumsum(posterior)
         first = np.flatnonzero(np.diff(to_node, prepend=-1))
         sizes = np.diff(np.append(first, len(to_node)))
         low = np.append(0.0, q)[first]
@@ -168,8 +167,6 @@ class Lattices:
         self.within = within
         self.edge = np.zeros(total + n, np.int64)
         self.edge[to_node[first]] = first
-        self.from_node = from_node[again]
-        self.source, self.count = source[order][again], count[order][again]
         self.first_node = starts[:-1] + np.arange(n)
         self.last_node = starts[1:] + np.arange(n)
 
@@ -243,11 +240,13 @@ def _replaced(schema: T.StructType, name: str, kind: T.DataType) -> T.StructType
     return T.StructType([f for f in schema.fields if f.name != name] + [T.StructField(name, kind)])
 
 
-def encode(docs: DataFrame, model_path: str, text: str = "text", key: str = "doc_id", *, alpha: float = 1.0, seed: int = 0, output: str = "piece_ids", drop_text: bool = False) -> DataFrame:
-    """docs with a column of sampled piece ids."""
+def encode(docs: DataFrame, model_path: str, text: str = "text", key: str = "doc_id", *, alpha: float = 1.0, seed: int = 0, output: str = "piece_ids", drop_text: bool = False, decoded: str | None = None) -> DataFrame:
+    """docs with a column of sampled piece ids; decoded names a further column for the text that the ids decode to."""
     source = docs.withColumn(text, F.col(text).cast("string"))
-    kept = [c for c in source.columns if c != output and not (drop_text and c == text)]
+    kept = [c for c in source.columns if c not in (output, decoded) and not (drop_text and c == text)]
     schema = _replaced(source.select(*[f"`{c}`" for c in kept]).schema, output, T.ArrayType(T.IntegerType()))
+    if decoded:
+        schema = _replaced(schema, decoded, T.StringType())
 
     def run(batches):
         model = Model.kept(model_path)
@@ -258,7 +257,8 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", key: str = "doc
                 ids, counts = encode_rows(model, data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], keys[i:j], alpha)
                 ends = np.append(0, np.cumsum(counts)).astype(np.int32)
                 column = pa.ListArray.from_arrays(pa.array(ends), pa.array(ids.astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([*(batch[c][i:j] for c in kept), column], names=[*kept, output])
+                more = [strings(*model.decode(ids, ends.astype(np.int64))).cast(pa.string())] if decoded else []
+                yield pa.RecordBatch.from_arrays([*(batch[c][i:j] for c in kept), column, *more], names=schema.names)
 
     return source.mapInArrow(run, schema)
 

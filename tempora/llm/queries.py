@@ -21,11 +21,11 @@ def op2_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text of documents as sampled pieces, and whether decoding them gives the text back."""
     import public_tokenizers
 
-    from .pieces import decode, encode
+    from .pieces import encode
 
     model = public_tokenizers.path("piece_bpe_32k.model")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
-    back = decode(encode(docs, model, drop_text=True), model)
+    back = encode(docs, model, drop_text=True, decoded="decoded")
     digest = F.sha2("decoded", 256)
     return back.select("doc_id", F.size("piece_ids").alias("n_pieces"), "piece_ids", digest.alias("decoded_sha256"), (digest == F.col("text_sha256")).alias("lossless"))
 
