@@ -92,9 +92,9 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str =
     tagged = docs.withColumn("__row", F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
     light = tagged.select(F.col(key).alias("__key"), "__row", F.col(source).alias("__source"), word_count(text).alias("__size"))
     units = light.groupBy("__key", "__row", "__source").agg(F.sum("__size").alias("__size"))
-    copies = mix_copies(units, "__size", "__source", "__key", weights=weights, seed=seed).where("copies > 0").select("__key", F.col("__row").alias("__r"), "copies")
+    copies = mix_copies(units, "__size", "__source", "__key", weights=weights, seed=seed).where("copies > 0").select("__key", F.col("__row").alias("__r"), F.col("copies").alias("__copies"))
     joined = tagged.join(copies, F.col(key).eqNullSafe(F.col("__key")) & (F.col("__row") == F.col("__r")))
-    repeated = joined.withColumn("__again", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    repeated = joined.withColumn("__again", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
     return repeated.select(*[f"`{c}`" for c in docs.columns])
 
 

@@ -87,13 +87,13 @@ class RuleEnsemble:
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
 
 
-def _grow(codes: np.ndarray, edges: list[np.ndarray], residual: np.ndarray, hessian: np.ndarray, columns: np.ndarray, depth: int, path: tuple, at: np.ndarray, out: list) -> None:
+def _grow(codes: np.ndarray, edges: list[np.ndarray], residual: np.ndarray, hessian: np.ndarray, columns: np.ndarray, depth: int, path: tuple, at: np.ndarray, out: list, least: int) -> None:
     """Add the paths of a tree (fitted to residuals by histogram splits) to out, each with its rows and value."""
     g, h = residual[at].sum(), hessian[at].sum()
     value = g / (h + 1.0)
     if path:
         out.append((path, at, value, depth == DEPTH))
-    if depth == DEPTH or len(at) < 40:
+    if depth == DEPTH or len(at) < 4 * least:
         if path:
             out[-1] = (*out[-1][:3], True)
         return
@@ -106,7 +106,7 @@ def _grow(codes: np.ndarray, edges: list[np.ndarray], residual: np.ndarray, hess
         hs = np.bincount(k, hessian[at], len(edges[c]) + 1).cumsum()[:-1]
         ns = np.bincount(k, minlength=len(edges[c]) + 1).cumsum()[:-1]
         gain = gs**2 / (hs + 1) + (g - gs) ** 2 / (h - hs + 1) - g**2 / (h + 1)
-        gain[(ns < 10) | (len(at) - ns < 10)] = -1
+        gain[(ns < least) | (len(at) - ns < least)] = -1
         b = int(gain.argmax())
         if gain[b] > best[0]:
             best = (gain[b], c, b)
@@ -117,7 +117,7 @@ def _grow(codes: np.ndarray, edges: list[np.ndarray], residual: np.ndarray, hess
     _, c, b = best
     low = codes[at, c] <= b
     for side, above in ((at[low], False), (at[~low], True)):
-        _grow(codes, edges, residual, hessian, columns, depth + 1, (*path, (int(c), above, float(edges[c][b]))), side, out)
+        _grow(codes, edges, residual, hessian, columns, depth + 1, (*path, (int(c), above, float(edges[c][b]))), side, out, least)
 
 
 def fit(x: np.ndarray, y: np.ndarray, names: list[str]) -> RuleEnsemble:
@@ -130,12 +130,13 @@ def fit(x: np.ndarray, y: np.ndarray, names: list[str]) -> RuleEnsemble:
     codes = np.stack([np.searchsorted(e, x[:, c], "left") for c, e in enumerate(edges)], 1)
     z = np.full(len(y), np.log(share / (1 - share)))
     rules: dict[Rule, None] = {}
+    least = int(np.clip(len(y) // 100, 2, 10))  # rows on either side of a split
     for _ in range(TREES):
         p = 1 / (1 + np.exp(-z))
         rows = np.sort(rng.choice(len(y), max(2, len(y) // 2), replace=False))
         columns = rng.choice(x.shape[1], max(2, x.shape[1] * 2 // 3), replace=False)
         paths: list = []
-        _grow(codes, edges, y - p, p * (1 - p), columns, 0, (), rows, paths)
+        _grow(codes, edges, y - p, p * (1 - p), columns, 0, (), rows, paths, least)
         for path, _, value, leaf in paths:
             rules[tuple((names[c], above, limit) for c, above, limit in path)] = None
             if leaf:
@@ -145,6 +146,8 @@ def fit(x: np.ndarray, y: np.ndarray, names: list[str]) -> RuleEnsemble:
                 z[hold] += 0.5 * value
     model = RuleEnsemble(names, 0.0)
     every = list(rules)
+    if not every:
+        return RuleEnsemble(names, float(np.log(share / (1 - share))))
     a = np.stack([model.holds(x, r) for r in every], 1).astype(np.float32)
     support = a.mean(0)
     keep = (support > 0.002) & (support < 0.998)
