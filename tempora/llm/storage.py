@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import gc
+import shutil
 import tempfile
 import uuid
 
@@ -17,7 +19,9 @@ def shared_folder(spark: SparkSession) -> str:
         if base is None:
             if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-            base = spark._tempora_folder = f"file://{tempfile.mkdtemp(prefix='tempora-')}"
+            folder = tempfile.mkdtemp(prefix="tempora-")
+            atexit.register(shutil.rmtree, folder, ignore_errors=True)
+            base = spark._tempora_folder = f"file://{folder}"
     return f"{base.rstrip('/')}/tempora/{uuid.uuid4().hex}"
 
 
