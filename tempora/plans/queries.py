@@ -294,9 +294,27 @@ def crosstab(spark, d):
     return stats.crosstab(table(spark, d, "orders"), "o_orderpriority", "o_orderstatus", ["F", "O", "P"])
 
 
+@query("SELECT o_orderpriority, o_orderstatus, count(*) AS n, CAST(GROUPING(o_orderpriority, o_orderstatus) AS INTEGER) AS level FROM orders GROUP BY CUBE (o_orderpriority, o_orderstatus)")
+def cube_count(spark, d):
+    return table(spark, d, "orders").cube("o_orderpriority", "o_orderstatus").agg(F.count("*").alias("n"), F.grouping_id().cast("int").alias("level"))
+
+
+@query("SELECT o_custkey AS key FROM orders INTERSECT SELECT user_id FROM events")
+def intersect_keys(spark, d):
+    return table(spark, d, "orders").select(F.col("o_custkey").alias("key")).intersect(table(spark, d, "events").select("user_id"))
+
+
 # windows, sorts
 
 
+@query("SELECT c_custkey, CAST(ntile(4) OVER (PARTITION BY c_mktsegment ORDER BY c_acctbal, c_custkey) AS INTEGER) AS quarter, CAST(rank() OVER (PARTITION BY c_mktsegment ORDER BY c_nationkey) AS INTEGER) AS place FROM customer")
+def quarter_in_group(spark, d):
+    from pyspark.sql import Window
+
+    group = Window.partitionBy("c_mktsegment")
+    return table(spark, d, "customer").select("c_custkey", F.ntile(4).over(group.orderBy("c_acctbal", "c_custkey")).alias("quarter"), F.rank().over(group.orderBy("c_nationkey")).alias("place"))
+
+
 TOP = f"SELECT post_id, count(*) AS total, count(*) FILTER (WHERE end_date IS NULL) AS current FROM {MANDATES} GROUP BY 1"
 
 
