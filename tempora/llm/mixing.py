@@ -46,8 +46,8 @@ def targets(sources: DataFrame, source: str, weights: tuple[int, ...] = WEIGHTS)
     # capped if cap / w < left / (BUDGET[1] * rest)
     w = w.withColumn("__full", F.col("__cap") * BUDGET[1] * F.col("__rest") < F.col("__w") * F.col("__left"))
     # the first source that is not capped sets the level of all that are not
-    level = w.where(~F.col("__full")).agg(F.max_by(F.struct("__left", "__rest"), "__rest").alias("__level"))
-    return w.crossJoin(level).select(
+    level = F.max_by(F.struct("__left", "__rest"), F.when(~F.col("__full"), F.col("__rest"))).over(every)
+    return w.withColumn("__level", level).select(
         source,
         "source_size",
         *[c for c in sources.columns if c not in (source, "source_size")],
