@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from .arrays import byte_values, memo, mix, prefix_sums, range_hashes, row_keys, slices, strings, uniform, utf8
 from .units import ranges
 
-BATCH_BYTES = 1 << 19
+BATCH_BYTES = 1 << 17
 RANK_SHIFT = 2.7
 
 _U = np.uint64
