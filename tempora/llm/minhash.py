@@ -205,9 +205,16 @@ def linked(vectors: list, bands: np.ndarray, side: np.ndarray | None, threshold:
 
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
     """A row a row of docs: its id (under its name) and class_id, the smallest id of its group."""
-    spark = docs.sparkSession
-    light = docs.select(F.col(key).cast("long").alias("__key"), F.col(text).cast("string").alias("__text"))
-    n, sketch = document_frequencies(docs, text)
+    found = _grouped(docs.select(F.col(key).cast("long").alias("__key"), F.col(text).cast("string").alias("__text")), threshold)
+    return found.select(F.col("key").alias(key), "class_id")
+
+
+def _grouped(light: DataFrame, threshold: float, number: str | None = None) -> DataFrame:
+    """key, class_id and group of each row of light (__key, __text): group tells groups apart where ids repeat, and is null where a
+    row without words is a group of its own. With number, a long column of light, also that."""
+    spark = light.sparkSession
+    more = [number] if number else []
+    n, sketch = document_frequencies(light, "__text")
     model = spark.sparkContext.broadcast(sketch)
 
     def sign(batches):
@@ -227,6 +234,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", th
                 yield pa.RecordBatch.from_pydict(
                     {
                         "key": batch["__key"][i:j],
+                        **{c: batch[c][i:j] for c in more},
                         "d1": pa.array(d1),
                         "d2": pa.array(d2),
                         "size": pa.array(np.diff(offsets[i : j + 1])),
@@ -234,7 +242,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", th
                     }
                 )
 
-    signed = stash(light.mapInArrow(sign, "key long, d1 long, d2 long, size long, bands array<long>"))
+    signed = stash(light.mapInArrow(sign, ", ".join(["key long", *(f"{c} long" for c in more), "d1 long, d2 long, size long, bands array<long>"])))
     release(spark)
     # a class of equal vectors: any row of it stands for it, with bands and a node number of its own
     node = F.xxhash64("d1", "d2")
@@ -248,7 +256,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", th
     wanted = stash(wanted)
     total = wanted.agg(F.sum("size")).first()[0] or 0
     bins = max(64, -(-total // BIN_BYTES))
-    fetched = light.join(wanted, F.col("__key").eqNullSafe(F.col("least")))
+    fetched = light.drop(*more).join(wanted, F.col("__key").eqNullSafe(F.col("least")))
     cut = F.expr(f"cast(ceil(members / {BLOCK}.0) as int)")
     mine = F.expr("cast(pmod(xxhash64(node, 7), parts) as int)")
     placed = fetched.drop("__key", "least", "size").withColumn("parts", cut).withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
@@ -292,17 +300,30 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", th
     release(spark)
     groups = stash(components(links))
     least = groups.join(classes.select("node", "least"), "node").groupBy("root").agg(F.min(F.struct(F.col("least").isNotNull().alias("o"), "least")).alias("m"))
-    named = stash(groups.join(least, "root").select("node", F.col("m.least").alias("least")))
+    named = stash(groups.join(least, "root").select("node", "root", F.col("m.least").alias("least")))
     whole = classes.select("d1", "d2", "node", F.col("least").alias("own")).join(named, "node", "left")
-    whole = stash(whole.select("d1", "d2", F.when(F.col("least").isNotNull(), F.col("least")).otherwise(F.col("own")).alias("class")))
-    rows = signed.select("key", "d1", "d2", (F.size("bands") > 0).alias("some"))
+    whole = stash(whole.select("d1", "d2", F.when(F.col("root").isNotNull(), F.col("least")).otherwise(F.col("own")).alias("class"), F.coalesce("root", "node").alias("group")))
+    rows = signed.select("key", *more, "d1", "d2", (F.size("bands") > 0).alias("some"))
     joined = rows.join(whole, ["d1", "d2"], "left")
-    return joined.select(F.col("key").alias(key), F.when(F.col("some"), F.col("class")).otherwise(F.col("key")).alias("class_id"))
+    return joined.select("key", *more, F.when(F.col("some"), F.col("class")).otherwise(F.col("key")).alias("class_id"), F.when(F.col("some"), F.col("group")).alias("group"))
 
 
 def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """docs without the rows that are not the first of their near-duplicate group."""
+    """docs without the rows whose id is not the first of their near-duplicate group; rows that repeat an id stay (see keep_first)."""
     found = stash(near_duplicates(docs, text, key))
     kept = found.where(F.col(key).eqNullSafe(F.col("class_id"))).select(F.col(key).alias("__kept")).distinct()
     return docs.join(kept, F.col(key).eqNullSafe(F.col("__kept")), "left_semi")
 
+
+def keep_first(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """One row of docs a near-duplicate group, the first by id (null first), hash of the row and number; rows without words all stay.
+
+    Rows are numbered once, on disk, so that ids may repeat or be null and no join meets a key that many rows share."""
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    numbered = stash(docs.select(*columns, F.xxhash64(*(F.to_json(F.struct(c)) for c in columns)).alias("__hash"), F.monotonically_increasing_id().alias("__number")))
+    light = numbered.select(F.col(key).cast("long").alias("__key"), F.col(text).cast("string").alias("__text"), "__number")
+    hashes = numbered.select("__number", "__hash")
+    found = stash(_grouped(light, THRESHOLD, "__number").join(hashes, "__number"))
+    first = found.where(F.col("group").isNotNull()).groupBy("group").agg(F.min(F.struct("key", "__hash", "__number")).alias("first")).select("first.__number")
+    kept = first.unionByName(found.where(F.col("group").isNull()).select("__number"))
+    return numbered.join(kept, "__number", "left_semi").select(*columns)

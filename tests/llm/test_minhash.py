@@ -10,10 +10,11 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tempora.llm import components as C
 from tempora.llm import minhash as M
 
-from .helpers import frame, prose, words
+from .helpers import SCHEMA, frame, prose, words
 
 
 def brute(texts):
@@ -79,6 +80,18 @@ def test_null_ids(spark):
     assert M.near_duplicates(df).count() == 3
 
 
+def test_one_row_of_each_group_is_kept(spark):
+    a, b, c = (prose(60, k) for k in (1, 2, 3))
+    near = a.rsplit(" ", 1)[0] + " changed"
+    texts = [(2, a), (2, a), (7, near), (5, b), (5, c), (3, c), (None, b), (None, b), (None, prose(60, 4)), (8, ""), (9, None)]
+    df = spark.createDataFrame([(i, t, "en", f"s{k}", 1) for k, (i, t) in enumerate(texts)] + [(2, a, "en", "s0", 1)], SCHEMA).withColumn("group", F.lit("clash"))
+    kept = M.keep_first(df)
+    assert kept.columns == df.columns
+    assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == Counter([(2, a), (3, c), (None, b), (None, prose(60, 4)), (8, ""), (9, None)])
+    stage = corpus_pipeline.near_dedup(spark, df.where("doc_id = 2"), "")
+    assert [(r["doc_id"], r["text"]) for r in stage.collect()] == [(2, a)]
+
+
 def test_samples_agree_as_often_as_weighted_jaccard_says():
     rng = np.random.default_rng(1)
     a_ids = np.sort(rng.choice(1 << 40, 60, replace=False).astype(np.uint64))
