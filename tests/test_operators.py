@@ -135,6 +135,16 @@ def test_chains_normalise_predecessors(spark):
     assert {(r["start"], r["node"], r["steps"]) for r in found.collect()} == {("a", "a", 0), ("a", "b", 1), ("a", "c", 2)}
 
 
+def test_recursion_has_no_row_limit_and_tells_the_depth_cap(spark):
+    df = spark.range(70).select("id", F.when(F.col("id") > 0, F.col("id") - 1).alias("parent"))
+    edges = df.where("id > 0").select(F.col("parent").alias("src"), F.col("id").alias("dst"))
+    spark.conf.set("spark.sql.cteRecursionRowLimit", "50")
+    assert graph.hierarchy(df, "id", "parent", 69).count() == graph.chains(edges, 69).count() == 70
+    for short in (graph.hierarchy(df, "id", "parent"), graph.chains(edges)):
+        with pytest.raises(Exception, match="RECURSION_LEVEL_LIMIT_EXCEEDED"):
+            short.collect()
+
+
 def test_skill_answers_use_cache_and_budget(spark):
     rows = spark.createDataFrame([(1, "x", Decimal(4)), (2, "y", Decimal(4)), (3, "z", Decimal(4))], "n int, t string, cost decimal(18,2)")
     key = rows.where("n = 1").select(skills.content_hash(F.lit("s"), "t").alias("key"), F.lit("known").alias("answer"))
