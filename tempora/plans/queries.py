@@ -372,7 +372,8 @@ def parse_date(spark, d):
 
 @query("SELECT o_orderkey, strftime(make_timestamp(o_orderkey * 123456789 * 1000), '%Y-%m-%d') AS day FROM orders WHERE o_orderkey < 100000000")
 def iso_date(spark, d):
-    return table(spark, d, "orders").where("o_orderkey < 100000000").select("o_orderkey", S.iso_date(F.col("o_orderkey") * 123456789).alias("day"))
+    instant = F.col("o_orderkey").cast("long") % 70_000_000 * 123456789  # more would not fit a timestamp's 64 bits of microseconds
+    return table(spark, d, "orders").select("o_orderkey", S.iso_date(instant).alias("day"))
 
 
 @query("SELECT unnest(generate_series(TIMESTAMP '1900-01-01', TIMESTAMP '2026-06-16', INTERVAL 1 DAY))::DATE AS day")

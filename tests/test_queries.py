@@ -39,3 +39,10 @@ def test_entry(spark):
 
 def test_names(spark):
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_iso_date_has_every_order(spark, tmp_path):
+    keys = [1, 99_999_999, 100_000_000, 10**12]
+    spark.createDataFrame([(k,) for k in keys], "o_orderkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    found = {r["o_orderkey"]: r["day"] for r in QUERIES["iso_date"](spark, str(tmp_path)).collect()}
+    assert sorted(found) == keys and found[1] == "1970-01-02" and all(found.values())
