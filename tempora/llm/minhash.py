@@ -2,16 +2,16 @@
 
 Shingles are SHINGLE consecutive words ([^\\x20\\x09-\\x0D]+, unchanged); a shorter text with words is one shingle. The weight
 of a shingle in a text is (1 + ln tf) * idf, with idf = 1 + ln((N + 1) / (df + 1)) / ln(N + 1), between 1 and 2: a rare shingle counts
-at most twice as much as one that all texts have. df is counted over all texts in a count-min row of WIDTH counters, which never
-counts too little and too much by no more than a few shingles / WIDTH; the row is the only thing broadcast, 4 * WIDTH bytes
-whatever the input.
+at most twice as much as one that all texts have. df is counted over all texts twice: in a count-min row of WIDTH counters, the only thing broadcast (4 * WIDTH bytes
+whatever the input), and exactly, by ranges of shingles, for the shingles of candidates. The row counts too much by about
+shingles / WIDTH, which grows with the input. It only steers which pairs become candidates; links follow the exact weights.
 
 1. Every text gets BANDS * ROWS samples by the improved consistent weighted sampling of Ioffe (2010): two texts share a
    sample with the probability of their weighted Jaccard similarity. ROWS samples make a band. At similarity 0.8 a pair
    shares a band with probability 1 - (1 - 0.8**3)**12 = 0.9998.
 2. Texts of equal vectors are one class from here on. Classes that share a band are candidates; candidate clusters are
    the components of the graph of classes and bands (a star a band, never its pairs).
-3. The texts of clusters travel once and every pair that shares a band and is not linked yet is verified by its exact
+3. The texts of clusters travel twice, to ask for the document frequencies of their shingles and with the answers, and every pair that shares a band and is not linked yet is verified by its exact
    weighted Jaccard similarity, THRESHOLD or more being a link. A cluster over BLOCK classes is cut into blocks and every pair of
    blocks is a piece of work of its own, so no task holds more than two blocks and no pair is skipped.
 4. Groups are the components of the links.
@@ -42,6 +42,10 @@ WIDTH = 1 << 22
 SEGMENTS = 64
 BLOCK = 384
 BIN_BYTES = 4 << 20
+#: Exact document frequencies are counted in 2**RANGE_BITS ranges of shingles, so 32 bits tell a shingle inside its range.
+RANGE_BITS = 12
+#: Shingles that a task gathers before it sends their counts.
+GATHER = 4_000_000
 
 _U = np.uint64
 #: A shingle keeps this many bits of its hash, the rest tells the row.
@@ -97,14 +101,92 @@ def document_frequencies(docs: DataFrame, text: str) -> tuple[int, bytes]:
     return sum(r["n"] for r in found), b"".join(segments.get(k, bytes(4 * part)) for k in range(SEGMENTS))
 
 
+_COUNTS = "range int, ids binary, counts binary"
+_ANSWERS = "work long, range int, ids binary, counts binary"
+
+
+def _ranges(ids: np.ndarray, counts: np.ndarray):
+    """range, ids and counts of each range that has some of the ids, which are in order."""
+    low = _U(_BITS - RANGE_BITS)
+    at = np.searchsorted(ids, np.arange((1 << RANGE_BITS) + 1, dtype=np.uint64) << low)
+    short, counts = (ids & ((_U(1) << low) - _U(1))).astype("<u4"), counts.astype("<u4")
+    for k in np.flatnonzero(at[1:] > at[:-1]).tolist():
+        yield k, short[at[k] : at[k + 1]].tobytes(), counts[at[k] : at[k + 1]].tobytes()
+
+
+def _summed(ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(ids, kind="stable")
+    ids = ids[order]
+    at = np.flatnonzero(np.append(True, ids[1:] != ids[:-1])) if len(ids) else np.zeros(0, np.int64)
+    return ids[at], np.add.reduceat(counts[order].astype(np.int64), at) if len(at) else np.zeros(0, np.int64)
+
+
+def _blob(table: pa.Table, column: str) -> np.ndarray:
+    return np.frombuffer(b"".join(table[column].to_pylist()), "<u4")
+
+
+def range_counts(docs: DataFrame) -> DataFrame:
+    """By range and task, the shingles of the texts (__text) and in how many texts of the task each is."""
+
+    def count(batches):
+        held, n = [], 0
+
+        def sent():
+            ids = np.sort(np.concatenate(held))
+            at = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+            found = list(_ranges(ids[at], np.diff(np.append(at, len(ids)))))
+            return pa.RecordBatch.from_pydict({"range": pa.array([x[0] for x in found], pa.int32()), "ids": pa.array([x[1] for x in found], pa.binary()), "counts": pa.array([x[2] for x in found], pa.binary())})
+
+        for batch in batches:
+            data, offsets = utf8(batch["__text"])
+            for i, j in slices(offsets):
+                held.append(shingles(Words(data, offsets, i, j))[1])
+                n += len(held[-1])
+                if n > GATHER:
+                    yield sent()
+                    held, n = [], 0
+        if n:
+            yield sent()
+
+    return docs.select("__text").mapInArrow(count, _COUNTS)
+
+
+def exact_frequencies(docs: DataFrame, placed: DataFrame) -> DataFrame:
+    """For each piece of work the shingles of its texts, by range, and in how many texts of docs each is."""
+
+    def ask(table: pa.Table) -> pa.Table:
+        data, offsets = utf8(table["__text"])
+        ids = np.unique(np.concatenate([shingles(Words(data, offsets, i, j))[1] for i, j in slices(offsets)] or [np.zeros(0, np.uint64)]))
+        found = list(_ranges(ids, np.zeros(len(ids))))
+        return pa.table({"work": pa.array([table["work"][0].as_py()] * len(found), pa.int64()), "range": pa.array([x[0] for x in found], pa.int32()), "ids": pa.array([x[1] for x in found], pa.binary())})
+
+    def answer(asked: pa.Table, counted: pa.Table) -> pa.Table:
+        if not len(asked):
+            return pa.table({"work": pa.array([], pa.int64()), "range": pa.array([], pa.int32()), "ids": pa.array([], pa.binary()), "counts": pa.array([], pa.binary())})
+        ids, counts = _summed(_blob(counted, "ids"), _blob(counted, "counts"))
+        found = [counts[np.searchsorted(ids, np.frombuffer(x, "<u4"))].astype("<u4").tobytes() for x in asked["ids"].to_pylist()]
+        return pa.table({"work": asked["work"], "range": asked["range"], "ids": asked["ids"], "counts": pa.array(found, pa.binary())})
+
+    asked = placed.select("work", "__text").groupBy("work").applyInArrow(ask, "work long, range int, ids binary")
+    return asked.groupBy("range").cogroup(range_counts(docs).groupBy("range")).applyInArrow(answer, _ANSWERS)
+
+
 class Weights:
-    """TF-IDF weights from the count-min row."""
+    """TF-IDF weights from document frequencies: those of the count-min row, or of shingles in order."""
 
     def __init__(self, n: int, row: bytes):
-        self.n, self.row = n, row
+        self.n, self.row, self.ids = n, np.frombuffer(row, "<u4"), None
+
+    @classmethod
+    def exact(cls, n: int, answers: pa.Table) -> Weights:
+        """From answers of exact_frequencies about one piece of work."""
+        weights, parts = cls(n, b""), sorted(zip(answers["range"].to_pylist(), answers["ids"].to_pylist(), answers["counts"].to_pylist(), strict=True))
+        weights.ids = np.concatenate([np.frombuffer(x, "<u4").astype(np.uint64) | _U(k) << _U(_BITS - RANGE_BITS) for k, x, _ in parts])
+        weights.row = np.concatenate([np.frombuffer(x, "<u4") for *_, x in parts])
+        return weights
 
     def idf(self, ids: np.ndarray) -> np.ndarray:
-        df = np.frombuffer(self.row, "<u4")[(ids & _U(WIDTH - 1)).astype(np.int64)]
+        df = self.row[(ids & _U(len(self.row) - 1)).astype(np.int64) if self.ids is None else np.searchsorted(self.ids, ids)]
         return 1 + np.log((self.n + 1) / (np.minimum(df, self.n) + 1.0)) / math.log(self.n + 1 if self.n else 2)
 
     def of(self, ids: np.ndarray, tf: np.ndarray) -> np.ndarray:
@@ -263,8 +345,10 @@ def _grouped(light: DataFrame, threshold: float, number: str | None = None) -> D
     placed = placed.withColumn("low", F.least("mine", "other")).withColumn("high", F.greatest("mine", "other"))
     placed = placed.withColumn("work", F.when(F.col("parts") == 1, F.pmod(F.xxhash64("root"), F.lit(bins))).otherwise(F.xxhash64("root", "low", "high")))
 
-    def verify(table: pa.Table) -> pa.Table:
-        weigh = Weights(n, model.value)
+    def verify(table: pa.Table, answers: pa.Table) -> pa.Table:
+        if not len(table) or not len(answers):
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        weigh = Weights.exact(n, answers)
         data, offsets = utf8(table["__text"])
         nodes = table["node"].to_numpy()
         d1s, d2s = table["d1"].to_numpy(), table["d2"].to_numpy()
@@ -296,7 +380,9 @@ def _grouped(light: DataFrame, threshold: float, number: str | None = None) -> D
                 b.append(nodes[members[y]])
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    links = stash(placed.groupBy("work").applyInArrow(verify, "a long, b long"))
+    answers = stash(exact_frequencies(light, placed))
+    release(spark)
+    links = stash(placed.groupBy("work").cogroup(answers.groupBy("work")).applyInArrow(verify, "a long, b long"))
     release(spark)
     groups = stash(components(links))
     least = groups.join(classes.select("node", "least"), "node").groupBy("root").agg(F.min(F.struct(F.col("least").isNotNull().alias("o"), "least")).alias("m"))

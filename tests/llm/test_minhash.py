@@ -65,6 +65,18 @@ def test_large_clusters_are_cut_into_blocks_without_losing_links(spark, monkeypa
     assert {r["doc_id"]: r["class_id"] for r in M.near_duplicates(frame(spark, texts)).collect()} == brute(texts)
 
 
+def test_links_follow_exact_document_frequencies_when_the_sketch_is_full(spark, monkeypatch):
+    texts = []
+    for k in range(16):  # a common and a rare half; changes in the rare one weigh more than the full row tells
+        common, rare = words(60, 100), words(60, 200 + k)
+        texts.append(" ".join(common + rare))
+        rare[20 : 24 + k % 5] = [f"new{k}x{x}" for x in range(4 + k % 5)]
+        texts.append(" ".join(common + rare))
+    monkeypatch.setattr(M, "WIDTH", M.SEGMENTS)
+    monkeypatch.setattr(M, "GATHER", 500)
+    assert {r["doc_id"]: r["class_id"] for r in M.near_duplicates(frame(spark, texts)).collect()} == brute(texts)
+
+
 def test_empty_table_extra_columns_and_repeated_rows(spark):
     assert M.near_duplicates(frame(spark, [])).count() == 0
     text = prose(50, 1)
