@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .arrays import slices, utf8
 from .bpe import Encoder
@@ -129,7 +130,18 @@ class WaveletMatrix:
         return position
 
     def occurrences(self, token: int) -> list[int]:
-        return [self.select(token, k) for k in range(self.count(token))]
+        """All positions of a token: select of every occurrence at once, a pass a plane."""
+        if token >> self.bits:
+            return []
+        low, high = self._span(token, self.n)
+        at = np.arange(low, high)
+        for level in range(self.bits - 1, -1, -1):
+            if not len(at):
+                break
+            bit = token >> (self.bits - 1 - level) & 1
+            same = np.flatnonzero(np.unpackbits(self.planes[level], count=self.n) == bit)
+            at = same[at - self.zeros[level] if bit else at]
+        return at.tolist()
 
 
 def pack(doc_ids: list, lengths: np.ndarray, ids: np.ndarray, bits: int) -> bytes:
@@ -227,7 +239,10 @@ def read_shards(manifest: DataFrame, key_type: str = "long") -> DataFrame:
     return _read(manifest, key_type, "ids array<int>")
 
 
-def _read(manifest: DataFrame, key_type: str, wanted: str) -> DataFrame:
+def _read(manifest: DataFrame, key_type: str, wanted: str, tasks: int | None = None) -> DataFrame:
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    kind = to_arrow_type(T.StructType.fromDDL(f"doc_id {key_type}")["doc_id"].dataType)  # a shard of null ids has it, too
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # a row a shard
     placed = stash(manifest.withColumn("before", F.coalesce(F.sum("n_tokens").over(before), F.lit(0).cast("long"))))
     shards = max(1, placed.count())
@@ -239,7 +254,7 @@ def _read(manifest: DataFrame, key_type: str, wanted: str) -> DataFrame:
                 ids = matrix.ids().astype("<u4")
                 ends = np.cumsum(lengths, dtype=np.int64)
                 starts = ends - lengths
-                columns = {"doc_id": pa.array(keys), "start": pa.array(starts + before), "n_tokens": pa.array(lengths.astype(np.int64))}
+                columns = {"doc_id": pa.array(keys, kind), "start": pa.array(starts + before), "n_tokens": pa.array(lengths.astype(np.int64))}
                 if wanted.startswith("ids_crc32"):
                     raw = memoryview(ids).cast("B")
                     columns["ids_crc32"] = pa.array([zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], pa.int64())
@@ -247,7 +262,7 @@ def _read(manifest: DataFrame, key_type: str, wanted: str) -> DataFrame:
                     columns["ids"] = pa.ListArray.from_arrays(pa.array(np.append(starts, ends[-1:]).astype(np.int32)), pa.array(ids.view(np.int32)))
                 yield pa.RecordBatch.from_pydict(columns)
 
-    return placed.select("shard", "before").repartition(min(shards, 10_000), "shard").mapInArrow(read, f"doc_id {key_type}, start long, n_tokens long, {wanted}")
+    return placed.select("shard", "before").repartition(tasks or min(shards, 10_000), "shard").mapInArrow(read, f"doc_id {key_type}, start long, n_tokens long, {wanted}")
 
 
 def read_digests(manifest: DataFrame, key_type: str = "long") -> DataFrame:

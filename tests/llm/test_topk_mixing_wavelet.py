@@ -183,3 +183,18 @@ def test_token_files_of_odd_tables(spark, tmp_path):
     df = spark.createDataFrame([(None, "a"), (1, "b"), (1, "b")], "doc_id long, text string")
     rows = V.read_digests(V.write_shards(df, f"{tmp_path}/b", BPE, 2)).orderBy("start").collect()
     assert [r["doc_id"] for r in rows] == [None, 1, 1]
+
+
+def test_shards_of_null_ids_share_a_task_with_others(spark, tmp_path):
+    df = spark.createDataFrame([(None, f"a{k}") for k in range(40)] + [(k, "b") for k in range(40)], "doc_id long, text string")
+    manifest = V.write_shards(df, f"{tmp_path}/c", BPE, 2)
+    rows = V._read(manifest, "long", "ids_crc32 long", tasks=1).collect()
+    assert manifest.count() > 1 and Counter(r["doc_id"] for r in rows) == {None: 40, **dict.fromkeys(range(40), 1)}
+    assert V.read_shards(manifest).count() == 80
+
+
+def test_very_long_and_blank_texts_in_token_files(spark, tmp_path):
+    texts = [prose(60_000, 1), "x" * 300_000, " \n" * 1000]
+    whole = Tokenizer.from_file(BPE)
+    rows = {r["doc_id"]: r["ids"] for r in V.read_shards(V.write_shards(frame(spark, texts), f"{tmp_path}/d", BPE, 2)).collect()}
+    assert all(rows[k] == [*whole.encode(t, add_special_tokens=False).ids, 2] for k, t in enumerate(texts))
