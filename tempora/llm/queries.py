@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, topk, warc
+from . import mixing, substring, topk, warc
 
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,6 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op3_warc_archives": warc.ORACLE_SQL,
+    "op6_substring_dedup": substring.ORACLE_SQL,
     "op7_top_k": topk.ORACLE_SQL,
     "op8_source_mixing": mixing.ORACLE_SQL,
 }

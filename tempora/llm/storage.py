@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new path under spark.checkpoint.dir. Where that is unset (tests, a single machine) a temporary folder is used."""
+    """A new path under spark.checkpoint.dir, in a folder of this session. Where that is unset (tests, a single machine) a temporary folder is used."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = getattr(spark, "_tempora_folder", None)
@@ -22,14 +22,37 @@ def shared_folder(spark: SparkSession) -> str:
             folder = tempfile.mkdtemp(prefix="tempora-")
             atexit.register(shutil.rmtree, folder, ignore_errors=True)
             base = spark._tempora_folder = f"file://{folder}"
-    return f"{base.rstrip('/')}/tempora/{uuid.uuid4().hex}"
+    if not getattr(spark, "_tempora_run", "").startswith(base):
+        spark._tempora_run = f"{base.rstrip('/')}/tempora/{uuid.uuid4().hex}"
+    return f"{spark._tempora_run}/{uuid.uuid4().hex}"
 
 
 def stash(df: DataFrame) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: the lineage ends there, lost executors cost no recomputation."""
     path = shared_folder(df.sparkSession)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    found = df.sparkSession.read.schema(df.schema).parquet(path)
+    found._tempora_path = path
+    return found
+
+
+def discard(*stashed: DataFrame) -> None:
+    """Delete stashed tables that no plan will read any more (only what stash() itself gave)."""
+    for df in stashed:
+        remove(df.sparkSession, df._tempora_path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared store through Spark's own file systems."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def clean(spark: SparkSession) -> None:
+    """Delete everything that this session wrote to the shared folder: call it when the results are written elsewhere."""
+    if hasattr(spark, "_tempora_run"):
+        remove(spark, spark._tempora_run)
+        del spark._tempora_run
 
 
 def release(spark: SparkSession) -> None:
@@ -43,3 +66,33 @@ def text_bytes(docs: DataFrame, text: str) -> int:
     from pyspark.sql import functions as F
 
     return docs.agg(F.sum(F.octet_length(F.col(text).cast("string")))).first()[0] or 0
+
+
+def file_system(path: str):
+    """The pyarrow file system of a path, and the path in it."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(path if "://" in path else path.replace("file:/", "file:///", 1) if path.startswith("file:/") else f"file://{path}")
+
+
+def read_file(path: str) -> bytes:
+    store, place = file_system(path)
+    with store.open_input_stream(place) as f:
+        return f.read()
+
+
+def write_file(path: str, raw: bytes) -> None:
+    """Write under another name, then rename."""
+    store, place = file_system(path)
+    store.create_dir(place.rpartition("/")[0], recursive=True)
+    temporary = f"{place}.{uuid.uuid4().hex}"
+    with store.open_output_stream(temporary) as f:
+        f.write(raw)
+    store.move(temporary, place)
+
+
+def exists(path: str) -> bool:
+    from pyarrow import fs
+
+    store, place = file_system(path)
+    return store.get_file_info(place).type == fs.FileType.File

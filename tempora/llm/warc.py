@@ -89,7 +89,7 @@ def write_archives(pages: DataFrame, folder: str, key: str = "page_id", url: str
     def write(batches):
         from pyspark import TaskContext
 
-        from .wavelet import write_file
+        from .storage import write_file
 
         part, held, size, n, files = TaskContext.get().partitionId(), [], 0, 0, 0
 
@@ -200,9 +200,9 @@ class WarcReader(DataSourceReader):
     def partitions(self):
         from pyarrow import fs
 
-        from .wavelet import _file_system
+        from .storage import file_system
 
-        store, place = _file_system(self.path)
+        store, place = file_system(self.path)
         found = store.get_file_info(fs.FileSelector(place, recursive=True, allow_not_found=True)) if store.get_file_info(place).type != fs.FileType.File else [store.get_file_info(place)]
         files = sorted((x.path, x.size) for x in found if x.type == fs.FileType.File and x.path.endswith((".warc", ".warc.gz")))
         groups, size = [[]], 0
@@ -215,11 +215,11 @@ class WarcReader(DataSourceReader):
         return [_Files(g) for g in groups]
 
     def read(self, partition):
-        from .wavelet import _file_system
+        from .storage import file_system
 
         rows: list[dict] = []
         held = 0
-        store, _ = _file_system(self.path)
+        store, _ = file_system(self.path)
         for path in partition.paths:
             with store.open_input_stream(path, compression=None) as f:
                 raw = f.read()

@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from .arrays import slices, utf8
 from .bpe import Encoder
-from .storage import stash, text_bytes
+from .storage import read_file, stash, text_bytes, write_file
 
 #: Fixed value: the first bytes of a shard.
 MAGIC = b"WVM1"
@@ -170,30 +170,6 @@ def unpack(raw: bytes) -> tuple[list, np.ndarray, WaveletMatrix]:
     return json.loads(parts[0]), np.frombuffer(parts[1], "<u4"), WaveletMatrix(planes, head["zeros"], head["n"])
 
 
-def _file_system(path: str):
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(path if "://" in path else path.replace("file:/", "file:///", 1) if path.startswith("file:/") else f"file://{path}")
-
-
-def read_file(path: str) -> bytes:
-    store, place = _file_system(path)
-    with store.open_input_stream(place) as f:
-        return f.read()
-
-
-def write_file(path: str, raw: bytes) -> None:
-    """Write under another name, then rename."""
-    import uuid
-
-    store, place = _file_system(path)
-    store.create_dir(place.rpartition("/")[0], recursive=True)
-    temporary = f"{place}.{uuid.uuid4().hex}"
-    with store.open_output_stream(temporary) as f:
-        f.write(raw)
-    store.move(temporary, place)
-
-
 def write_shards(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, text: str = "text", key: str = "doc_id") -> DataFrame:
     """Encode and write all texts; gives a row a shard: shard (path, in order), n_docs, n_tokens."""
     parts = max(8, -(-text_bytes(docs, text) // PART_BYTES))

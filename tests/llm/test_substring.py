@@ -4,6 +4,9 @@ import hashlib
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import pytest
 
 from tempora.llm import substring as S
@@ -63,13 +66,35 @@ def test_cover_meets_every_pair_of_alignments():
     assert S.ANCHOR + S.PERIOD - 1 == S.WIDTH
 
 
-@pytest.mark.parametrize("buckets", [1, 3, 64])
-def test_chunks_route_every_hash(buckets):
-    import numpy as np
+@pytest.mark.parametrize("ranges", [1, 3, 64, 5_000_000])
+def test_ranges_get_every_hash_and_answer_the_chunks_that_hold_it(ranges):
+    hashes = {4: [0, 5, 5, 5, 2**63, 2**64 - 1], 9: [7, 2**63, 7 << 40], 11: []}
+    found = [S.sent(np.array(h, np.uint64), c, ranges) for c, h in hashes.items()]
+    # never more messages than hashes, however many ranges there are
+    assert [len(x) for x in found] <= [5, 3, 0] and sum(len(x) for x in found) <= 8
+    rows = pa.Table.from_batches(found)
+    answers = Counter()
+    for r in set(rows["range"].to_pylist()):
+        one = S.repeated(rows.filter(pa.compute.equal(rows["range"], r)))
+        for c, b in zip(one["chunk"].to_pylist(), one["hashes"].to_pylist(), strict=True):
+            answers.update((c, x) for x in set(np.frombuffer(b, np.uint64).tolist()))
+    assert answers == Counter({(4, 5): 1, (4, 2**63): 1, (9, 2**63): 1})
+
+
+def test_small_chunks_and_long_texts(spark, monkeypatch):
+    monkeypatch.setattr(S, "CHUNK_BYTES", 500)
+    t = [*texts(), prose(30_000, 7), f"{prose(20_000, 8)} {prose(60, 1)} {prose(20, 9)}"]
+    df = frame(spark, t)
+    chunks = [r["__chunk"] for r in S._chunked(df, "text").collect()]
+    assert len(set(chunks)) > 10
+    found = {r["doc_id"]: r for r in S.remove_repeats(df, keep_text=False).collect()}
+    for k, (n, gone, kept) in brute(t).items():
+        assert (found[k]["n_words"], found[k]["n_removed"]) == (n, gone), k
+        assert found[k]["kept_sha256"] == hashlib.sha256(" ".join(kept).encode()).hexdigest(), k
+
 
-    hashes = np.array([0, 5, 5, 2**63, 2**64 - 1], np.uint64)
-    chunk = S.Chunk(hashes, buckets)
-    sent = chunk.sent(4)
-    assert sorted(x for b in sent["hashes"].to_pylist() for x in np.frombuffer(b, np.uint64).tolist()) == [0, 5, 2**63, 2**64 - 1]
-    back = {r["bucket"]: r["bits"] for r in S._count(1)(sent).to_pylist()}
-    assert chunk.repeated(hashes, back).tolist() == [False, True, True, False, False]
+def test_maps_dots_and_other_text_columns(spark):
+    df = spark.createDataFrame([(prose(40, 1), {"a": 1}, 2), (prose(40, 1), None, 3), (prose(9, 2), {}, None)], "body string, m map<string,int>, `x.y` int")
+    out = S.remove_repeats(df, "body")
+    assert out.columns == ["body", "m", "x.y", "n_words", "n_removed"]
+    assert sorted((r["x.y"] or 0, r["m"], r["body"], r["n_removed"]) for r in out.collect()) == [(0, {}, prose(9, 2), 0), (2, {"a": 1}, "", 40), (3, None, "", 40)]
