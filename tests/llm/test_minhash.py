@@ -22,7 +22,7 @@ def brute(texts):
     s = [Counter(tuple(x[i : i + 5]) for i in range(max(1, len(x) - 4))) if x else Counter() for x in w]
     df = Counter(t for x in s for t in x)
     n = sum(1 for x in s if x)
-    v = [{t: (1 + math.log(c)) * (1 + math.log((n + 1) / (df[t] + 1)) / math.log(n + 1)) for t, c in x.items()} for x in s]
+    v = [{t: (1 + math.log(c)) * (1 + math.log(max(df[t] / n, M.RARE)) / math.log(M.RARE)) for t, c in x.items()} for x in s]
     up = list(range(len(texts)))
 
     def find(x):
@@ -59,12 +59,51 @@ def test_classes_equal_brute_force(spark):
     assert {r["doc_id"]: r["class_id"] for r in found.collect()} == brute(texts)
 
 
-def test_large_clusters_are_cut_into_blocks_without_losing_links(spark, monkeypatch):
+@pytest.mark.parametrize(("block", "hubs"), [(3, 1), (3, 0), (2, 40)])
+def test_large_clusters_are_cut_into_blocks_without_losing_links(spark, monkeypatch, block, hubs):
     texts = corpus()
-    monkeypatch.setattr(M, "BLOCK", 3)
+    monkeypatch.setattr(M, "BLOCK", block)
+    monkeypatch.setattr(M, "HUBS", hubs)
     assert {r["doc_id"]: r["class_id"] for r in M.near_duplicates(frame(spark, texts)).collect()} == brute(texts)
 
 
+def test_variants_of_a_template_in_many_blocks(spark, monkeypatch):
+    template = words(120, 1)
+    texts = [" ".join(template[:60] + words(70, 100 + k) + template[60:]) for k in range(120)]
+    texts += [t.rsplit(" ", 1)[0] + " end" for t in texts[::10]]
+    monkeypatch.setattr(M, "BLOCK", 8)
+    monkeypatch.setattr(M, "HUBS", 6)
+    met = []
+    across = M._across
+    monkeypatch.setattr(M, "_across", lambda *a: met.append(across(*a)) or met[-1])
+    found = {r["doc_id"]: r["class_id"] for r in M.near_duplicates(frame(spark, texts)).collect()}
+    assert found == brute(texts) and len(set(found.values())) == 120 and len(met) == 1
+
+
+def vector(weights):
+    ids = np.array(sorted(weights), np.uint64)
+    w = np.array([weights[i] for i in ids.tolist()], np.float32)
+    return ids, w, float(w.sum(dtype=np.float64))
+
+
+def test_prefixes_of_similar_vectors_meet_and_those_of_variants_do_not():
+    rng = random.Random(2)
+    known = np.arange(0, 300, 2, dtype=np.uint64)
+    counts = np.array([rng.randrange(1, 9) for _ in known])
+    for _ in range(300):
+        a = {rng.randrange(300): rng.uniform(1, 4) for _ in range(rng.randrange(1, 60))}
+        b = {k: v * rng.choice([1, 1, 1, 1.2]) for k, v in a.items() if rng.random() > 0.1} or a
+        b |= {rng.randrange(300): 1.0 for _ in range(rng.randrange(4))}
+        x, y = vector(a), vector(b)
+        if M.similarity(x, y) >= 0.8:
+            assert set(M.prefix(x, known, counts, 0.8).tolist()) & set(M.prefix(y, known, counts, 0.8).tolist())
+    template = dict.fromkeys(range(100), 1.0)
+    variants = [vector(template | dict.fromkeys(range(1000 * k, 1000 * k + 50), 1.0)) for k in range(1, 30)]
+    known, counts = np.unique(np.concatenate([v[0] for v in variants[:5]]), return_counts=True)
+    firsts = [set(M.prefix(v, known, counts, 0.8).tolist()) for v in variants[5:]]
+    assert sum(map(len, firsts)) == len(set().union(*firsts))
+
+
 def test_links_follow_exact_document_frequencies_when_the_sketch_is_full(spark, monkeypatch):
     texts = []
     for k in range(16):  # a common and a rare half; changes in the rare one weigh more than the full row tells
@@ -83,13 +122,35 @@ def test_empty_table_extra_columns_and_repeated_rows(spark):
     df = frame(spark, [text, text, prose(50, 2)]).withColumn("class_id", F.lit("clash"))
     again = df.unionByName(df.where("doc_id = 2"))
     assert sorted((r["doc_id"], r["class_id"]) for r in M.near_duplicates(again).collect()) == [(0, 0), (1, 0), (2, 2), (2, 2)]
-    kept = M.keep_one(again)
-    assert kept.columns == df.columns and sorted(r["doc_id"] for r in kept.collect()) == [0, 2, 2]
-
-
-def test_null_ids(spark):
-    df = spark.createDataFrame([(None, prose(50, 1)), (3, prose(50, 1)), (4, prose(50, 2))], "doc_id long, text string")
-    assert M.near_duplicates(df).count() == 3
+    kept = M.keep_first(again)
+    assert kept.columns == df.columns and sorted(r["doc_id"] for r in kept.collect()) == [0, 2]
+
+
+def test_null_ids_count_only_where_a_group_has_no_other(spark):
+    a, b = prose(50, 1), prose(50, 2)
+    near = b.rsplit(" ", 1)[0] + " changed"
+    rows = [(None, a), (3, a), (4, prose(50, 3)), (None, b), (0, near), (None, prose(50, 4)), (None, ""), (None, None)]
+    found = M.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter((r["doc_id"], r["class_id"]) for r in found) == Counter({(None, 3): 1, (3, 3): 1, (4, 4): 1, (None, 0): 1, (0, 0): 1, (None, None): 3})
+
+
+def test_many_rows_without_ids_and_a_very_long_text(spark):
+    long = prose(40_000, 9)
+    rows = [(None, prose(30, k % 20)) for k in range(200)] + [(5, long), (6, long + " more"), (7, "x" * 200_000)]
+    found = M.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter((r["doc_id"], r["class_id"]) for r in found) == Counter({(None, None): 200, (5, 5): 1, (6, 5): 1, (7, 7): 1})
+    assert M.keep_first(spark.createDataFrame(rows, "doc_id long, text string")).count() == 22
+
+
+def test_weights_depend_on_shares_of_texts(spark, monkeypatch):
+    texts = [f"{prose(40, 7)} {prose(30, 100 + k)}" for k in range(50)]
+    monkeypatch.setattr(M, "RARE", 0.1)
+    for times in (1, 4):  # the same shares in a table of four times the size
+        df = frame(spark, texts * times).select(F.col("text").alias("__text"))
+        n, rare, ids, counts, _ = M.frequent_shingles(df)
+        assert (n, rare) == (50 * times, 0.1) and set((counts / n).tolist()) == {1.0} and len(ids) == 36
+        weights = M.Weights(n, rare, ids, counts)
+        assert weights.idf(ids).tolist() == [1.0] * 36 and weights.idf(ids + np.uint64(1)).tolist() == [2.0] * 36
 
 
 def test_one_row_of_each_group_is_kept(spark):
