@@ -61,11 +61,15 @@ def offset(source: str, seed: int = 0) -> Column:
     return F.conv(F.substring(F.sha2(name, 256), 1, 8), 16, 10).cast("double") / F.lit(2.0**32)
 
 
-def mix_copies(rows: DataFrame, size: str = "size", source: str = "source", key: str = "doc_id", *, weights: tuple[int, ...] = WEIGHTS, seed: int = 0) -> DataFrame:
-    """rows with source_size, target and copies (0, 1 or 2 times the row goes into the mix)."""
+def mix_copies(rows: DataFrame, size: str = "size", source: str = "source", key: str = "doc_id", *, weights: tuple[int, ...] = WEIGHTS, seed: int = 0, ties: tuple[str, ...] | None = None) -> DataFrame:
+    """rows with source_size, target and copies (0, 1 or 2 times the row goes into the mix). Runs jobs when it is called.
+
+    Rows of a source are ranked by size, id and ties (by default a hash of the other columns), so only equal rows are in no fixed order."""
     base = rows.drop("source_size", "target", "copies")
     spark = rows.sparkSession
     order = [F.col(source).asc_nulls_last(), F.col(size), F.col(key)]
+    others = [F.col(f"`{c}`") for c in base.columns if c not in (size, source, key)]
+    order += [F.col(c) for c in ties] if ties is not None else [F.xxhash64(*(F.to_json(F.struct(c)) for c in others))] if others else []
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     base = stash(base)
     placed = stash(base.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("__pos", F.monotonically_increasing_id()))
@@ -85,17 +89,16 @@ def mix_copies(rows: DataFrame, size: str = "size", source: str = "source", key:
 
 
 def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id", *, weights: tuple[int, ...] = WEIGHTS, seed: int = 0) -> DataFrame:
-    """The rows of docs, each as often as the mix takes it. Rows that repeat in all columns are taken alike.
+    """The rows of docs, each as often as the mix takes it; rows that repeat are ranked one by one. Runs jobs when it is called.
 
-    Only ids, a hash of the row, sources and sizes are ranked; texts move once, in the join with the copies.
+    Rows are numbered once, on disk. Only numbers, ids, hashes of the rows, sources and sizes are ranked; texts move once, in the join with the copies.
     """
-    tagged = docs.withColumn("__row", F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
-    light = tagged.select(F.col(key).alias("__key"), "__row", F.col(source).alias("__source"), word_count(text).alias("__size"))
-    units = light.groupBy("__key", "__row", "__source").agg(F.sum("__size").alias("__size"))
-    copies = mix_copies(units, "__size", "__source", "__key", weights=weights, seed=seed).where("copies > 0").select("__key", F.col("__row").alias("__r"), F.col("copies").alias("__copies"))
-    joined = tagged.join(copies, F.col(key).eqNullSafe(F.col("__key")) & (F.col("__row") == F.col("__r")))
-    repeated = joined.withColumn("__again", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-    return repeated.select(*[f"`{c}`" for c in docs.columns])
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    numbered = stash(docs.select(*columns, F.xxhash64(*(F.to_json(F.struct(c)) for c in columns)).alias("__row"), F.monotonically_increasing_id().alias("__number")))
+    light = numbered.select("__number", "__row", F.col(f"`{key}`").alias("__key"), F.col(f"`{source}`").alias("__source"), word_count(text).alias("__size"))
+    copies = mix_copies(light, "__size", "__source", "__key", weights=weights, seed=seed, ties=("__row", "__number")).where("copies > 0").select("__number", F.col("copies").alias("__copies"))
+    repeated = numbered.join(copies, "__number").withColumn("__again", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
+    return repeated.select(*columns)
 
 
 #: The same in SQL. Ranks by a window, which one engine on one machine may do.
