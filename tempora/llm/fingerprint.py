@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import byte_values, prefix_sums, range_hashes, slices, utf8
+from .columns import named, plain
 from .storage import text_bytes
 from .units import ranges
 
@@ -156,6 +157,7 @@ def fingerprints(docs: DataFrame, text: str = "text", output: str = "fingerprint
     """docs with the digest of each text, in base64."""
     from pyspark.sql import types as T
 
+    docs = plain(docs)
     kept = [c for c in docs.columns if c != output]
     schema = T.StructType([*(f for f in docs.schema.fields if f.name != output), T.StructField(output, T.StringType())])
 
@@ -164,7 +166,7 @@ def fingerprints(docs: DataFrame, text: str = "text", output: str = "fingerprint
             found = digests(*utf8(batch[text].cast(pa.string())))
             yield pa.RecordBatch.from_arrays([*(batch[c] for c in kept), pa.array(map(text_of, found), pa.string())], names=[*kept, output])
 
-    return docs.mapInArrow(run, schema)
+    return named(docs.mapInArrow(run, schema))
 
 
 _RESULT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"

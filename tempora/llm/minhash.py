@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from .arrays import Words, mix, prefix_sums, range_hashes, slices, utf8, window_hashes
 from .components import components
-from .storage import discard, release, stash
+from .storage import discard, release, spread, stash
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -54,7 +54,7 @@ HUBS = 32
 BIN_BYTES = 4 << 20
 TASK_BYTES = 64 << 20
 #: Shingles that a task gathers before it sends their counts.
-GATHER = 4_000_000
+GATHER = 1_000_000
 
 _U = np.uint64
 #: A shingle keeps this many bits of its hash, the rest tells the row.
@@ -362,7 +362,7 @@ def _grouped(light: DataFrame, threshold: float, number: str | None = None) -> D
     spark = light.sparkSession
     more = [number] if number else []
     # the id and a hash of the text tell a row to fetch: neither a null id nor one that many rows share is a hot key
-    light = light.select("__key", "__text", *more, F.xxhash64("__text").alias("__hash"))
+    light = spread(light).select("__key", "__text", *more, F.xxhash64("__text").alias("__hash"))
     weights = spark.sparkContext.broadcast(frequent_shingles(light))  # at most FREQUENT numbers twice, and WIDTH bits
 
     def sign(batches):

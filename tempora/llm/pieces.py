@@ -10,7 +10,8 @@ prefers longer pieces, alpha 0 draws all paths alike. A character without a piec
 
 No piece of the model goes on after white space that it does not start with, so the lattice of a text falls apart where
 a space follows something else, and around line ends. The parts between (units) are independent; each distinct unit's lattice is
-built once a batch and every occurrence draws its own path.
+built once a batch and every occurrence draws its own path. A unit falls apart once more wherever no piece crosses a place, so a
+long text without spaces is many short lattices, unless its pieces overlap without end.
 
 Defined results: a null or empty text has no pieces and decodes to an empty text; decoding gives back every other text to the byte,
 U+2581 and line ends included; rows that repeat are encoded alike; null keys draw alike; columns named like the
@@ -28,6 +29,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .arrays import byte_values, memo, mix, prefix_sums, range_hashes, row_keys, slices, strings, uniform, utf8
+from .columns import named, plain
+from .storage import spread
 from .units import ranges
 
 BATCH_BYTES = 1 << 17
@@ -126,8 +129,14 @@ class Lattices:
         length.append(width[p])
         piece.append(np.full(len(p), -1, np.int32))
         begin, length, piece = np.concatenate(begin_at), np.concatenate(length), np.concatenate(piece)
+        # all paths of a unit go through the places that no edge crosses: its parts between them are independent
+        crossed = np.cumsum(np.bincount(begin + 1, minlength=total + 2) - np.bincount(begin + length, minlength=total + 2))
+        parts = np.flatnonzero(crossed[:total] == 0)
+        self.part = np.searchsorted(parts, starts[:-1])
+        self.parts = np.diff(np.append(self.part, len(parts)))
+        n, starts = len(parts), np.append(parts, total)
         # edges in order of the node they end at, and there of length, so the order is the same however units come together
-        owner = unit[begin] if total else begin
+        owner = np.searchsorted(parts, begin, "right") - 1
         order = np.argsort((begin + length + owner) * 64 + np.minimum(length, 63))
         begin, length, piece, owner = begin[order], length[order], piece[order], owner[order]
         weight = np.where(piece >= 0, -alpha * model.log_rank[piece], -alpha * np.log(model.size + RANK_SHIFT) * length)
@@ -172,6 +181,14 @@ class Lattices:
 
     def draw(self, units: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """A path for each occurrence of a unit (keys: 64 bits each): the flat ids of all, in order, and how many each has."""
+        pieces = self.parts[units]
+        which, stops = ranges(np.arange(len(self.first_node)), self.part[units], pieces)
+        ordinal = np.arange(len(which)) - np.repeat(stops - pieces, pieces)
+        ids, counts = self._draw(which, np.repeat(keys, pieces) + ordinal.astype(np.uint64) * _U(0xA0761D6478BD642F))
+        return ids, np.diff(np.append(0, np.cumsum(counts))[np.append(0, stops)])
+
+    def _draw(self, units: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """draw() for parts of units."""
         n = len(units)
         node, stop = self.last_node[units], self.first_node[units]
         active = np.flatnonzero(node > stop)
@@ -242,7 +259,7 @@ def _replaced(schema: T.StructType, name: str, kind: T.DataType) -> T.StructType
 
 def encode(docs: DataFrame, model_path: str, text: str = "text", key: str = "doc_id", *, alpha: float = 1.0, seed: int = 0, output: str = "piece_ids", drop_text: bool = False, decoded: str | None = None) -> DataFrame:
     """docs with a column of sampled piece ids; decoded names a further column for the text that the ids decode to."""
-    source = docs.withColumn(text, F.col(text).cast("string"))
+    source = spread(plain(docs).withColumn(text, F.col(text).cast("string")))
     kept = [c for c in source.columns if c not in (output, decoded) and not (drop_text and c == text)]
     schema = _replaced(source.select(*[f"`{c}`" for c in kept]).schema, output, T.ArrayType(T.IntegerType()))
     if decoded:
@@ -260,11 +277,12 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", key: str = "doc
                 more = [strings(*model.decode(ids, ends.astype(np.int64))).cast(pa.string())] if decoded else []
                 yield pa.RecordBatch.from_arrays([*(batch[c][i:j] for c in kept), column, *more], names=schema.names)
 
-    return source.mapInArrow(run, schema)
+    return named(source.mapInArrow(run, schema))
 
 
 def decode(encoded: DataFrame, model_path: str, ids: str = "piece_ids", output: str = "decoded") -> DataFrame:
     """encoded with the text of its piece ids; null ids give an empty text."""
+    encoded = plain(encoded)
     kept = [c for c in encoded.columns if c != output]
     schema = _replaced(encoded.schema, output, T.StringType())
 
@@ -276,4 +294,4 @@ def decode(encoded: DataFrame, model_path: str, ids: str = "piece_ids", output:
             data, offsets = model.decode(column.flatten().to_numpy(zero_copy_only=False), np.append(0, np.cumsum(sizes)))
             yield pa.RecordBatch.from_arrays([*(batch[c] for c in kept), strings(data, offsets).cast(pa.string())], names=[*kept, output])
 
-    return encoded.mapInArrow(run, schema)
+    return named(encoded.mapInArrow(run, schema))

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .labelled import SAMPLE, fold, sample
+from .storage import spread
 
 TREES = 24
 DEPTH = 3
@@ -190,6 +191,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
 
 def score(docs: DataFrame, model: RuleEnsemble, text: str = "text", output: str = "score") -> DataFrame:
     """docs with the score of each text, 0 to 1, higher for better quality."""
+    docs = spread(docs)
     columns = [c for c in docs.columns if c != output]
     wide = docs.select(*[f"`{c}`" for c in columns], *[s.alias(f"__{n}") for n, s in statistics(text).items()])
     return wide.select(*[f"`{c}`" for c in columns], model.column().alias(output))

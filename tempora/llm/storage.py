@@ -55,6 +55,19 @@ def clean(spark: SparkSession) -> None:
         del spark._tempora_run
 
 
+#: Bytes of input a core reads without having rows dealt to it.
+CORE_BYTES = 64 << 20
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df, with its rows dealt to all cores where its files are fewer than the cores and small: one row group is one task's otherwise."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) > CORE_BYTES * cores:
+        return df
+    files = len(df.inputFiles())
+    return df.repartition(cores) if 0 < files < cores else df
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner drop the shuffle files of plans that nothing refers to any more."""
     gc.collect()

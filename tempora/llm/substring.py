@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from .arrays import SLICE_BYTES, Words, prefix_sums, slices, utf8, window_hashes
 from .columns import named, plain, plain_name
-from .storage import exists, read_file, release, shared_folder, stash, text_bytes, write_file
+from .storage import exists, read_file, release, shared_folder, spread, stash, text_bytes, write_file
 
 WIDTH = 35
 PERIOD = 21
@@ -208,7 +208,7 @@ def _chunked(docs: DataFrame, text: str) -> DataFrame:
                 size += int(offsets[j] - offsets[i])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(numbers)], names=schema.names)
 
-    return stash(wide.mapInArrow(number, schema))
+    return stash(spread(wide).mapInArrow(number, schema))
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", *, keep_text: bool = True) -> DataFrame:

@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .arrays import Words, byte_values, prefix_sums, range_hashes, slices, utf8
+from .columns import named, plain
 from .labelled import SAMPLE, sample
-from .storage import stash
+from .storage import spread, stash
 
 BUCKETS = 1 << 20
 PREFIXES = (4, 5, 6)
@@ -108,7 +109,7 @@ def _counts(rows: DataFrame, text: str) -> tuple[np.ndarray, np.ndarray]:
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic", modulus: int | None = None, held: int | None = None, most: int = SAMPLE) -> tuple[np.ndarray, float]:
     """Weights of all buckets and the bias, from at most so many labelled rows."""
     rows = sample(docs.select(F.col(key), F.col(text).cast("string").alias("__text")), labels.select(key, label), label, key, modulus, held, most)
-    rows = stash(rows.select(F.col(key).cast("string").alias("__key"), "__text", "__label").where(F.col("__label").isin(0, 1))).coalesce(4)
+    rows = stash(rows.select(F.col(key).cast("string").alias("__key"), "__text", "__label").where(F.col("__label").isin(0, 1))).coalesce(16)
     n, has = _counts(rows, "__text")
     weights = np.zeros(BUCKETS, np.float32)
     if n.min() == 0:
@@ -179,6 +180,7 @@ def fit(label: np.ndarray, sentences: np.ndarray, sentence, feature, width: int)
 def score(docs: DataFrame, model: tuple[np.ndarray, float], text: str = "text", output: str = "score") -> DataFrame:
     """docs with the probability that a text is toxic; the text column stays if it is among docs' columns."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS numbers
+    docs = spread(plain(docs))
     kept = [c for c in docs.columns if c != output]
     schema = T.StructType([*(f for f in docs.schema.fields if f.name != output), T.StructField(output, T.DoubleType())])
 
@@ -192,7 +194,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], text: str = "text",
                 out.append(noisy_or(found.scores(weights, bias), found.row, j - i))
             yield pa.RecordBatch.from_arrays([*(batch[c] for c in kept), pa.array(np.concatenate(out))], names=[*kept, output])
 
-    return docs.mapInArrow(run, schema)
+    return named(docs.mapInArrow(run, schema))
 
 
 def offending(docs: DataFrame, model: tuple[np.ndarray, float], text: str = "text", key: str = "doc_id", least: float = 0.3) -> DataFrame:

@@ -10,6 +10,7 @@ import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tempora.llm import arrays as A
 from tempora.llm import pieces as P
@@ -79,3 +80,26 @@ def test_columns_nulls_and_empty_tables(spark):
     both = P.encode(df, PATH, decoded="decoded", drop_text=True)
     assert both.columns == ["doc_id", "piece_ids", "decoded"] and sorted(r["decoded"] for r in both.collect()) == ["", "", "a b", "a b"]
     assert P.encode(df.limit(0), PATH).count() == 0
+
+
+def test_a_long_text_without_spaces_is_many_short_lattices(model):
+    import random
+    import time
+
+    rng = random.Random(1)
+    texts = ["".join(rng.choice("bcdfgklmnprstvwxz0123456789") for _ in range(300_000)), "\u6f22\u5b57" * 50_000]
+    began = time.perf_counter()
+    rows, ids, offsets = encode(model, texts)
+    assert A.strings(*model.decode(ids, offsets)).to_pylist() == texts
+    assert time.perf_counter() - began < 30
+    assert rows[0].tolist() == encode(model, [texts[1], texts[0]], [1, 0])[0][1].tolist()
+
+
+def test_encoding_of_odd_tables(spark):
+    df = spark.createDataFrame([(None, "a b", 1, {"k": 2}), (None, "a b", 2, None), (3, None, 3, {}), (3, "", 4, {})], "doc_id long, text string, `x.y` int, piece_ids map<string,int>")
+    out = P.encode(df.withColumn("decoded", F.lit("clash")), PATH, decoded="decoded")
+    assert out.columns == ["doc_id", "text", "x.y", "piece_ids", "decoded"]
+    rows = {r["x.y"]: r for r in out.collect()}
+    assert rows[1]["piece_ids"] == rows[2]["piece_ids"] and [rows[k]["decoded"] for k in (1, 2, 3, 4)] == ["a b", "a b", "", ""]
+    assert P.encode(df.limit(0), PATH).count() == 0
+    assert P.decode(out, PATH, output="again").where("again = decoded").count() == 4
