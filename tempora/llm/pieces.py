@@ -34,6 +34,9 @@ from .storage import spread
 from .units import ranges
 
 BATCH_BYTES = 1 << 17
+#: A worker keeps the lattices of the units that are most frequent in the first LEARN_BYTES it sees, of at most KEPT_BYTES together.
+LEARN_BYTES = 1 << 20
+KEPT_BYTES = 1 << 18
 RANK_SHIFT = 2.7
 
 _U = np.uint64
@@ -67,11 +70,17 @@ class Model:
         self.start = np.cumsum(self.length) - self.length
         ids = np.flatnonzero(plain)
         hashes = range_hashes(prefix_sums(byte_values()[self.bytes]), self.start[ids], self.start[ids] + self.length[ids])
-        order = np.argsort(hashes)
-        self.hashes, self.ids = hashes[order], ids[order].astype(np.int32)
+        self.hashes, self.ids = hashes, ids.astype(np.int32)
         self.lengths = np.unique(self.length[ids]).tolist()
-        self.maybe = np.zeros(1 << 20, bool)
-        self.maybe[(hashes >> _U(44)).astype(np.int64)] = True
+        self.common: dict = {}
+        # where a hash may lie among the pieces': by its top bits, and for those that find the place taken by lower bits
+        self.top, self.low = np.full(1 << 20, -1, np.int32), np.full(1 << 20, -1, np.int32)
+        top, low = (hashes >> _U(44)).astype(np.int64), (hashes >> _U(8) & _U(0xFFFFF)).astype(np.int64)
+        self.top[top] = np.arange(len(ids))
+        second = np.flatnonzero(self.top[top] != np.arange(len(ids)))
+        self.low[low[second]] = second
+        if (self.low[low[second]] != second).any():
+            raise ValueError("too many pieces for the tables of hashes")
 
     @classmethod
     def kept(cls, path: str) -> Model:
@@ -82,11 +91,14 @@ class Model:
 
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which of the hashes are pieces', and those pieces."""
-        may = np.flatnonzero(self.maybe[(hashes >> _U(44)).astype(np.int64)])
-        at = np.searchsorted(self.hashes, hashes[may])
-        at[at == len(self.hashes)] = 0
-        hit = self.hashes[at] == hashes[may]
-        return may[hit], self.ids[at[hit]]
+        place = self.top[(hashes >> _U(44)).astype(np.int64)]
+        may = np.flatnonzero(place >= 0)
+        place, sought = place[may], hashes[may]
+        hit = self.hashes[place] == sought
+        other = np.flatnonzero(~hit)
+        place[other] = self.low[(sought[other] >> _U(8) & _U(0xFFFFF)).astype(np.int64)]
+        hit[other] = self.hashes[place[other]] == sought[other]  # (-1: of the last piece, whose hash it is not)
+        return may[hit], self.ids[place[hit]]
 
     def decode(self, ids: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The UTF-8 bytes of rows of ids, without the space that encoding puts in front, and their offsets."""
@@ -109,7 +121,6 @@ class Lattices:
         end = starts[1:][unit]
         sums = prefix_sums(byte_values()[data])
         begin_at, length, piece = [], [], []
-        place = np.arange(total)
         lead = (data & 0xC0) != 0x80
         starts_char = np.flatnonzero(lead)
         for size in model.lengths:
@@ -131,12 +142,13 @@ class Lattices:
         begin, length, piece = np.concatenate(begin_at), np.concatenate(length), np.concatenate(piece)
         # all paths of a unit go through the places that no edge crosses: its parts between them are independent
         crossed = np.cumsum(np.bincount(begin + 1, minlength=total + 2) - np.bincount(begin + length, minlength=total + 2))
-        parts = np.flatnonzero(crossed[:total] == 0)
+        cut = crossed[:total] == 0
+        parts, of_part = np.flatnonzero(cut), np.cumsum(cut) - 1
         self.part = np.searchsorted(parts, starts[:-1])
         self.parts = np.diff(np.append(self.part, len(parts)))
         n, starts = len(parts), np.append(parts, total)
         # edges in order of the node they end at, and there of length, so the order is the same however units come together
-        owner = np.searchsorted(parts, begin, "right") - 1
+        owner = of_part[begin]
         order = np.argsort((begin + length + owner) * 64 + np.minimum(length, 63))
         begin, length, piece, owner = begin[order], length[order], piece[order], owner[order]
         weight = np.where(piece >= 0, -alpha * model.log_rank[piece], -alpha * np.log(model.size + RANK_SHIFT) * length)
@@ -216,9 +228,45 @@ class Lattices:
         return ids, np.diff(np.append(0, np.append(0, stops)[ends]))
 
 
+class Common:
+    """The lattices of frequent units, built once a worker; what they are has no effect on the draws."""
+
+    def __init__(self, model: Model, alpha: float):
+        self.model, self.alpha, self.lattice = model, alpha, None
+        self.seen: list[tuple] = []
+        self.size = 0
+
+    @classmethod
+    def kept(cls, model: Model, alpha: float) -> Common:
+        return model.common.setdefault(alpha, cls(model, alpha))
+
+    def learn(self, hashes: np.ndarray, counts: np.ndarray, text: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> None:
+        self.seen.append((hashes, counts, *ranges(text, starts, lengths), lengths))
+        self.size += int(lengths @ counts)
+        if self.size < LEARN_BYTES:
+            return
+        every, first, code = np.unique(np.concatenate([x[0] for x in self.seen]), return_index=True, return_inverse=True)
+        total = np.bincount(code, weights=np.concatenate([x[1] for x in self.seen]))
+        length = np.concatenate([x[4] for x in self.seen])
+        start = np.cumsum(length) - length
+        best = np.argsort(-total, kind="stable")
+        best = best[total[best] > 1]
+        best = np.sort(best[np.cumsum(length[first[best]]) <= KEPT_BYTES])
+        units, stops = ranges(np.concatenate([x[2] for x in self.seen]), start[first[best]], length[first[best]])
+        self.hashes, self.lattice, self.seen = every[best], Lattices(self.model, units, np.append(0, stops), self.alpha), []
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The unit of each hash in the lattices, -1 where it is none."""
+        if self.lattice is None or not len(self.hashes):
+            return np.full(len(hashes), -1)
+        at = np.searchsorted(self.hashes, hashes)
+        at[at == len(self.hashes)] = 0
+        return np.where(self.hashes[at] == hashes, at, -1)
+
+
 def encode_rows(model: Model, data: np.ndarray, offsets: np.ndarray, keys: np.ndarray, alpha: float) -> tuple[np.ndarray, np.ndarray]:
     """Sampled ids of all rows, flat, and the number of each."""
-    flat, counts = [], []
+    flat, counts, common = [], [], Common.kept(model, alpha)
     for i, j in slices(offsets, BATCH_BYTES):
         lengths = np.diff(offsets[i : j + 1])
         some = lengths > 0
@@ -240,12 +288,29 @@ def encode_rows(model: Model, data: np.ndarray, offsets: np.ndarray, keys: np.nd
         codes, unique = pd.factorize(range_hashes(prefix_sums(byte_values()[text]), at, ends))
         first = np.empty(len(unique), np.int64)
         first[codes[::-1]] = np.arange(len(at) - 1, -1, -1)
-        distinct, stops = ranges(text, at[first], (ends - at)[first])
+        known = common.find(unique)
+        if common.lattice is None:
+            common.learn(unique, np.bincount(codes), text, at[first], (ends - at)[first])
+        new = np.flatnonzero(known < 0)
+        place = np.empty(len(unique), np.int64)
+        place[new] = np.arange(len(new))
+        distinct, stops = ranges(text, at[first[new]], (ends - at)[first[new]])
         lattice = Lattices(model, distinct, np.append(0, stops), alpha)
         row = np.searchsorted(bounds, at, "right") - 1
         begins = np.searchsorted(at, bounds[:-1])
         ordinal = (np.arange(len(at)) - begins[row]).astype(np.uint64)
-        ids, per_unit = lattice.draw(codes, mix(keys[i:j][row] + ordinal * _U(0xD1342543DE82EF95)))
+        draws = mix(keys[i:j][row] + ordinal * _U(0xD1342543DE82EF95))
+        old, fresh = np.flatnonzero(known[codes] >= 0), np.flatnonzero(known[codes] < 0)
+        ids, per_fresh = lattice.draw(place[codes[fresh]], draws[fresh])
+        per_unit = np.zeros(len(at), np.int64)
+        per_unit[fresh] = per_fresh
+        if len(old):
+            more, per_old = common.lattice.draw(known[codes[old]], draws[old])
+            per_unit[old] = per_old
+            begin = np.empty(len(at), np.int64)
+            begin[fresh] = np.cumsum(per_fresh) - per_fresh
+            begin[old] = np.cumsum(per_old) - per_old + len(ids)
+            ids, _ = ranges(np.concatenate([ids, more]), begin, per_unit)
         flat.append(ids)
         counts.append(np.bincount(row, weights=per_unit, minlength=j - i).astype(np.int64))
     if not flat:
