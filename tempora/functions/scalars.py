@@ -12,6 +12,8 @@ TODAY_LABEL = "vandaag"
 SITE_BASE = ""
 MARKUP = "(?i)<[a-z]"
 POSTCODE = "^[0-9]{4} [A-Z]{2}$"
+#: Characters that markup sets apart, the ampersand first.
+MARKS = {"&": "&amp;", "<": "&lt;", ">": "&gt;", '"': "&quot;"}
 #: What percent-encoding of a URI component leaves as it is, though form encoding does not.
 URI_KEPT = {"%21": "!", "%27": "'", "%28": "(", "%29": ")", "%7E": "~"}
 
@@ -130,6 +132,19 @@ def tone_color(tone: Column | str) -> Column:
     return F.when(t == "lint", "accent").when(t == "warn", "warning").otherwise("neutral")
 
 
+def link(href: Column | str, label: Column | str) -> Column:
+    """An anchor where there is a target, else nothing; what XML sets apart is escaped."""
+    return F.when(truthy(href), F.concat(F.lit('<a href="'), escaped(href), F.lit('">'), escaped(label), F.lit("</a>")))
+
+
+def escaped(x: Column | str) -> Column:
+    """A text inside markup."""
+    out = _c(x)
+    for plain, mark in MARKS.items():
+        out = F.replace(out, F.lit(plain), F.lit(mark))
+    return out
+
+
 def optional_suffix(value: Column | str, separator: str = " · ") -> Column:
     """separator + value for a number that is neither null nor 0, else an empty text."""
     return F.when(truthy_number(value), F.concat(F.lit(separator), _c(value).cast("string"))).otherwise(F.lit(""))
@@ -192,8 +207,9 @@ def id_class(x: Column | str) -> Column:
 
 
 def content_hash(*parts: Column | str) -> Column:
-    """SHA-256 of the parts, separated by a control character; null parts are left out."""
-    return F.sha2(F.concat_ws("\x01", *map(_c, parts)), 256)
+    """SHA-256 of the parts, each with its length in front (null: a mark of its own), so different parts never spell the same text."""
+    spelled = [F.coalesce(F.concat(F.char_length(p).cast("string"), F.lit(":"), p), F.lit("-")) for p in (_c(x).cast("string") for x in parts)]
+    return F.sha2(F.concat(*spelled), 256)
 
 
 def party_in_role(role: Column | str) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
@@ -24,17 +25,38 @@ def admit(calls: DataFrame, order: str, cost: str, limit: float | Decimal | None
 
 
 class CostLedger:
-    """The running total on the driver, for calls made one after another; Spark sums for reports use spent()."""
-
-    def __init__(self, limit: float | None):
-        self.limit = limit
-        self.total = 0.0
-
-    def charge(self, cost: float) -> None:
-        self.total += cost
-
-    def is_spent(self) -> bool:
-        return self.limit is not None and self.total >= self.limit
+    """A running total that threads of the driver share. Spark sums for reports use spent().
+
+    add() and exceeded() are the loose protocol (ask before a call, add after it: threads may overshoot together); charge() does
+    both at once under the lock, so no call is admitted after the limit is reached.
+    """
+
+    def __init__(self, limit_usd: float | None):
+        self._limit, self._total, self._guard = limit_usd, 0.0, threading.RLock()
+
+    @property
+    def limit_usd(self) -> float | None:
+        return self._limit
+
+    @property
+    def spent_usd(self) -> float:
+        with self._guard:
+            return self._total
+
+    def exceeded(self) -> bool:
+        return self._limit is not None and self.spent_usd >= self._limit
+
+    def add(self, cost_usd: float) -> None:
+        with self._guard:
+            self._total += cost_usd
+
+    def charge(self, cost_usd: float) -> bool:
+        """Whether a call is admitted; if so its cost is added."""
+        with self._guard:
+            admitted = not self.exceeded()
+            if admitted:
+                self.add(cost_usd)
+            return admitted
 
     @staticmethod
     def spent(calls: DataFrame, cost: str) -> DataFrame:

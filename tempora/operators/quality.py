@@ -70,15 +70,17 @@ def exit_code(issues: DataFrame, strict: bool = False) -> int:
 
 
 def row_hash(df: DataFrame, *without: str) -> Column:
-    return F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`") for c in sorted(df.columns) if c not in without])))
+    """SHA-256 of a row's columns by name; nulls count."""
+    row = F.struct(*[F.col(f"`{c}`") for c in sorted(df.columns) if c not in without])
+    return F.sha2(F.to_json(row, {"ignoreNullFields": "false"}), 256)
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """key and change (added, removed, changed) of rows that differ between two snapshots."""
+    """key and change (added, removed, changed) of rows that differ between two snapshots; a null key is a key like others."""
     a = old.select(F.col(key).alias("__a"), row_hash(old).alias("__x"))
     b = new.select(F.col(key).alias("__b"), row_hash(new).alias("__y"))
-    joined = a.join(b, F.col("__a") == F.col("__b"), "full_outer")
-    change = F.when(F.col("__x").isNull(), "added").when(F.col("__y").isNull(), "removed").when(~F.col("__x").eqNullSafe(F.col("__y")), "changed")
+    joined = a.join(b, F.col("__a").eqNullSafe(F.col("__b")), "full_outer")
+    change = F.when(F.col("__x").isNull(), "added").when(F.col("__y").isNull(), "removed").when(F.col("__x") != F.col("__y"), "changed")
     return joined.select(F.coalesce("__a", "__b").alias(key), change.alias("change")).where("change is not null")
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import content_hash
 from .budget import admit
 
-#: Fixed value: what a process exits with when its rate limit is reached.
+#: What a process exits with when its rate limit is reached (own choice).
 RATE_LIMIT_EXIT_CODE = 75
 
 

@@ -23,6 +23,12 @@ def is_active_on(start: Column, end: Column, day: Column | dt.date | str | None)
     return (start.isNull() | (start <= d)) & (end.isNull() | (end >= d))
 
 
+def started_by(instant: str, day: dt.date | str) -> Column:
+    """Whether a timestamp lies on a day or before, as a test of the bare column, which reaches the scan (a cast to a date does not)."""
+    after = dt.date.fromisoformat(str(day)) + dt.timedelta(days=1)
+    return F.col(instant).isNull() | (F.col(instant) < F.lit(dt.datetime.combine(after, dt.time())).cast("timestamp_ntz"))
+
+
 def active_on(records: DataFrame, day: dt.date | str | None, start: tuple[str, ...] = ("valid_from", "start_date"), end: tuple[str, ...] = ("valid_until", "end_date")) -> DataFrame:
     """Rows in force on a day; of the named columns those that exist count."""
     have = set(records.columns)
@@ -67,11 +73,35 @@ def overlaps(a_start: Column, a_end: Column, b_start: Column, b_end: Column) ->
     return (b_end.isNull() | (a_start < b_end)) & (a_end.isNull() | (b_start < a_end))
 
 
-def overlapping_pairs(records: DataFrame, key: str, position: str, start: str, end: str) -> DataFrame:
-    """Pairs of a key's records whose intervals overlap, each once (key, a, b by position). An equi-join on the key with a residual test."""
-    a = records.select(F.col(key), F.col(position).alias("a"), F.col(start).alias("a_start"), F.col(end).alias("a_end"))
-    b = records.select(F.col(key), F.col(position).alias("b"), F.col(start).alias("b_start"), F.col(end).alias("b_end"))
-    return a.join(b, key).where((F.col("a") < F.col("b")) & overlaps(F.col("a_start"), F.col("a_end"), F.col("b_start"), F.col("b_end"))).select(key, "a", "b")
+#: A key with more records than this has them paired by slices of time.
+CROWDED = 1000
+SLICE = "year"
+
+
+def overlapping_pairs(records: DataFrame, key: str, position: str, start: str, end: str, crowded: int = CROWDED) -> DataFrame:
+    """Pairs of a key's records whose intervals overlap, each once (key, a, b by position).
+
+    An equi-join on the key with a residual test. The records of a crowded key meet by key and slice of time instead: the later start of
+    an overlapping pair lies in a slice that the other interval touches, so no pair is lost and a hot key is split. (Open
+    intervals end with the last slice of the records.)
+    """
+    r = records.select(F.col(key).alias("__key"), F.col(position).alias("p"), F.col(start).alias("s"), F.col(end).alias("e")).where("__key is not null and s is not null")
+    many = r.groupBy("__key").agg(F.count("*").alias("__n")).where(F.col("__n") > crowded).select(F.col("__key").alias("__many"))
+    few = r.join(many, F.col("__key") == F.col("__many"), "left_anti")
+    x, y = (few.select("__key", *[F.col(c).alias(f"{c}{side}") for c in "pse"]) for side in "xy")
+    test = overlaps(F.col("sx"), F.col("ex"), F.col("sy"), F.col("ey"))
+    direct = x.join(y, "__key").where((F.col("px") < F.col("py")) & test).select("__key", F.col("px").alias("a"), F.col("py").alias("b"))
+    crowd = r.join(many, F.col("__key") == F.col("__many"), "left_semi")
+    last = crowd.groupBy("__key").agg(F.max("s").alias("last"))
+    slice_of = lambda c: F.date_trunc(SLICE, c)
+    until = F.least(F.coalesce("e", "last"), F.col("last"))
+    spans = crowd.join(last, "__key").withColumn("slice", F.explode(F.sequence(slice_of(F.col("s")), F.greatest(slice_of(until), slice_of(F.col("s"))), F.expr(f"interval 1 {SLICE}"))))
+    x = spans.select("__key", "slice", *[F.col(c).alias(f"{c}x") for c in "pse"])
+    y = crowd.select("__key", slice_of(F.col("s")).alias("slice"), *[F.col(c).alias(f"{c}y") for c in "pse"])
+    first = (F.col("sx") < F.col("sy")) | ((F.col("sx") == F.col("sy")) & (F.col("px") < F.col("py")))
+    sliced = x.join(y, ["__key", "slice"]).where(first & (F.col("px") != F.col("py")) & test)
+    both = direct.unionByName(sliced.select("__key", F.least("px", "py").alias("a"), F.greatest("px", "py").alias("b")))
+    return both.withColumnRenamed("__key", key)
 
 
 def not_contained(inner: DataFrame, outer: DataFrame, key: str, start: str, end: str, outer_start: str, outer_end: str) -> DataFrame:
@@ -87,19 +117,42 @@ def version_order(end: str, start: str, position: str) -> list[Column]:
     return [F.col(end).isNull().desc(), F.col(end).desc_nulls_last(), F.col(start).desc_nulls_last(), F.col(position).desc()]
 
 
+def _rank(end: str, start: str, position: str) -> Column:
+    """version_order as one value: the largest is the version that counts."""
+    return F.struct(F.col(end).isNull().cast("int").alias("open"), F.col(end).alias("end"), F.col(start).alias("start"), F.col(position).alias("position"))
+
+
 def latest_version(versions: DataFrame, key: str, start: str, end: str, position: str) -> DataFrame:
-    """The version of each key that counts as current."""
-    w = Window.partitionBy(key).orderBy(*version_order(end, start, position))
-    return versions.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
-
-
-def version_at(facts: DataFrame, versions: DataFrame, key: str, at: str, start: str, end: str, position: str, fact_id: list[str]) -> DataFrame:
-    """Each fact with the version of its key in force at its date (closed interval), null columns where none is."""
-    v = versions.select(F.col(key).alias("__key"), *[F.col(c) for c in versions.columns if c != key])
-    inside = (F.col(start).isNull() | (F.col(start) <= F.col(at))) & (F.col(end).isNull() | (F.col(end) >= F.col(at)))
-    w = Window.partitionBy(*fact_id).orderBy(*version_order(end, start, position))
-    joined = facts.join(v, (F.col(key) == F.col("__key")) & inside, "left").drop("__key")
-    return joined.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
+    """The version of each key that counts as current (version_order); an aggregate, so nothing is sorted and a hot key is combined early."""
+    others = [c for c in versions.columns if c != key]
+    best = versions.groupBy(key).agg(F.max_by(F.struct(*[F.col(f"`{c}`") for c in others]), _rank(end, start, position)).alias("__best"))
+    return best.select(*[F.col(f"`{c}`") if c == key else F.col(f"__best.`{c}`").alias(c) for c in versions.columns])
+
+
+def version_at(facts: DataFrame, versions: DataFrame, key: str, at: str, start: str, end: str, position: str) -> DataFrame:
+    """Each fact with the version of its key in force at its date (closed interval), null columns where none is.
+
+    No fact meets a version: both are ordered by date within a key and month, and the largest version so far, by version_order, is
+    carried along, with the largest of all months before. It ends last, so if it has ended by then no other is in force.
+    """
+    columns = [c for c in versions.columns if c != key]
+    kinds = versions.select(F.struct(*columns).alias("v"), _rank(end, start, position).alias("o")).schema
+    nothing = F.lit(None)
+    f = facts.select(F.col(key).alias("__key"), F.col(at).cast("date").alias("__day"), F.lit(1).alias("__turn"), F.struct(*[F.col(f"`{c}`") for c in facts.columns]).alias("__fact"), nothing.cast(kinds["v"].dataType).alias("v"), nothing.cast(kinds["o"].dataType).alias("o"))
+    v = versions.select(F.col(key).alias("__key"), F.col(start).cast("date").alias("__day"), F.lit(0).alias("__turn"), nothing.cast(f.schema["__fact"].dataType).alias("__fact"), F.struct(*columns).alias("v"), _rank(end, start, position).alias("o"))
+    both = f.unionByName(v).withColumn("__month", F.trunc("__day", "month"))
+    whole = F.struct("o", "v")
+    so_far = Window.partitionBy("__key", "__month").orderBy(F.col("__day").asc_nulls_first(), "__turn").rowsBetween(Window.unboundedPreceding, 0)
+    inside = both.withColumn("__in", F.max_by(whole, "o").over(so_far)).where("__turn = 1")
+    months = both.groupBy("__key", "__month").agg(F.max_by(whole, "o").alias("__best"))
+    earlier = Window.partitionBy("__key").orderBy(F.col("__month").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    carried = months.select(F.col("__key").alias("__k"), F.col("__month").alias("__m"), F.max_by("__best", F.col("__best.o")).over(earlier).alias("__before"))
+    joined = inside.join(carried, F.col("__key").eqNullSafe(F.col("__k")) & F.col("__month").eqNullSafe(F.col("__m")))
+    a, b = F.col("__in"), F.col("__before")
+    best = F.when(a["o"].isNull(), b).when(b["o"].isNull() | (a["o"] >= b["o"]), a).otherwise(b)
+    found = joined.select("__fact", "__key", best.alias("__x"), F.col("__day").alias("__on"))
+    holds = F.col("__key").isNotNull() & F.col("__x.o").isNotNull() & (F.col("__x.o.end").isNull() | (F.col("__x.o.end").cast("date") >= F.col("__on")))
+    return found.select("__fact.*", *[F.when(holds, F.col(f"__x.v.`{c}`")).alias(c) for c in columns])
 
 
 def neighbours(records: DataFrame, key: str, order: list[str], start: str, end: str) -> DataFrame:

@@ -46,8 +46,12 @@ MANDATES = "(SELECT o_orderkey AS mandate_id, o_custkey AS post_id, o_orderdate:
 
 
 def intervals(spark, d) -> DataFrame:
+    return intervals_of(table(spark, d, "lineitem"))
+
+
+def intervals_of(lines: DataFrame) -> DataFrame:
     day = F.col("l_shipdate").cast("date")
-    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", day.alias("start_date"), F.when(F.col("l_returnflag") != "N", F.date_add(day, F.col("l_quantity").cast("int"))).alias("end_date"))
+    return lines.select("l_orderkey", "l_linenumber", day.alias("start_date"), F.when(F.col("l_returnflag") != "N", F.date_add(day, F.col("l_quantity").cast("int"))).alias("end_date"))
 
 
 INTERVALS = "(SELECT l_orderkey, l_linenumber, l_shipdate::DATE AS start_date, CASE WHEN l_returnflag <> 'N' THEN l_shipdate::DATE + l_quantity::INTEGER END AS end_date FROM lineitem)"
@@ -88,7 +92,8 @@ def filter_by_type(spark, d):
 
 @query(f"SELECT l_orderkey, l_linenumber FROM {INTERVALS} WHERE start_date <= DATE '1996-03-01' AND (end_date IS NULL OR end_date >= DATE '1996-03-01')")
 def asof_active(spark, d):
-    return intervals(spark, d).where(temporal.is_active_on(F.col("start_date"), F.col("end_date"), "1996-03-01")).select("l_orderkey", "l_linenumber")
+    started = table(spark, d, "lineitem").where(temporal.started_by("l_shipdate", "1996-03-01"))  # the half that the scan can test
+    return intervals_of(started).where(temporal.is_active_on(F.col("start_date"), F.col("end_date"), "1996-03-01")).select("l_orderkey", "l_linenumber")
 
 
 @query("SELECT o_orderkey AS mandate_id FROM orders WHERE o_orderstatus = 'O'")
@@ -171,15 +176,21 @@ def lookup_fallback(spark, d):
 
 
 @query(
-    """WITH a AS (SELECT c_custkey AS id, c_name, c_acctbal FROM customer WHERE c_custkey % 7 <> 0),
-    b AS (SELECT c_custkey AS id, c_name, CASE WHEN c_custkey % 3 = 0 THEN 0 ELSE c_acctbal END AS c_acctbal FROM customer WHERE c_custkey % 5 <> 0)
-    SELECT coalesce(a.id, b.id) AS id, CASE WHEN a.id IS NULL THEN 'added' WHEN b.id IS NULL THEN 'removed' ELSE 'changed' END AS change
-    FROM a FULL JOIN b ON a.id = b.id WHERE a.id IS NULL OR b.id IS NULL OR a.c_acctbal <> b.c_acctbal"""
+    """WITH a AS (SELECT nullif(c_custkey, 11) AS id, c_name, c_acctbal FROM customer),
+    b AS (SELECT CASE WHEN c_custkey % 5 = 0 THEN -1 - c_custkey ELSE nullif(c_custkey, 11) END AS id, c_name, CASE WHEN c_custkey % 3 = 0 THEN 0 ELSE c_acctbal END AS c_acctbal FROM customer)
+    SELECT coalesce(a.id, b.id) AS id, CASE WHEN a.c_name IS NULL THEN 'added' WHEN b.c_name IS NULL THEN 'removed' ELSE 'changed' END AS change
+    FROM a FULL JOIN b ON a.id IS NOT DISTINCT FROM b.id WHERE a.c_name IS NULL OR b.c_name IS NULL OR a.c_acctbal <> b.c_acctbal"""
 )
 def diff_full_outer(spark, d):
-    c = table(spark, d, "customer").select(F.col("c_custkey").alias("id"), "c_name", "c_acctbal")
-    new = c.where("id % 5 <> 0").withColumn("c_acctbal", F.when(F.col("id") % 3 == 0, 0.0).otherwise(F.col("c_acctbal")))
-    return quality.snapshot_diff(c.where("id % 7 <> 0"), new, "id")
+    return quality.snapshot_diff(*snapshots(spark, d), "id")
+
+
+def snapshots(spark, d) -> tuple[DataFrame, DataFrame]:
+    """All customers (one without an id), and all of them with a fifth of the ids and a third of the balances changed."""
+    c = table(spark, d, "customer")
+    known, balance = F.nullif(F.col("c_custkey"), F.lit(11).cast("long")), F.when(F.col("c_custkey") % 3 == 0, 0.0).otherwise(F.col("c_acctbal"))
+    moved = F.when(F.col("c_custkey") % 5 == 0, -1 - F.col("c_custkey")).otherwise(known)
+    return c.select(known.alias("id"), "c_name", "c_acctbal"), c.select(moved.alias("id"), "c_name", balance.alias("c_acctbal"))
 
 
 @query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL)")
@@ -229,7 +240,7 @@ def active_per_day(spark, d):
 def asof_name(spark, d):
     m = mandates(spark, d)
     versions = m.select("post_id", F.col("mandate_id").alias("version"), F.col("start_date").alias("v_start"), F.col("end_date").alias("v_end"))
-    return temporal.version_at(m, versions, "post_id", "start_date", "v_start", "v_end", "version", ["mandate_id"]).select("mandate_id", "version")
+    return temporal.version_at(m, versions, "post_id", "start_date", "v_start", "v_end", "version").select("mandate_id", "version")
 
 
 # aggregates
@@ -370,7 +381,7 @@ def parse_date(spark, d):
     return table(spark, d, "orders").select("o_orderkey", S.parse_date(F.when(k == 0, "").when(k == 1, "x").when(k == 2, "2020-13-01").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))).alias("day"))
 
 
-@query("SELECT o_orderkey, strftime(make_timestamp(o_orderkey * 123456789 * 1000), '%Y-%m-%d') AS day FROM orders WHERE o_orderkey < 100000000")
+@query("SELECT o_orderkey, strftime(make_timestamp(o_orderkey % 70000000 * 123456789 * 1000), '%Y-%m-%d') AS day FROM orders")
 def iso_date(spark, d):
     instant = F.col("o_orderkey").cast("long") % 70_000_000 * 123456789  # more would not fit a timestamp's 64 bits of microseconds
     return table(spark, d, "orders").select("o_orderkey", S.iso_date(instant).alias("day"))
@@ -483,9 +494,10 @@ def regex_extract(spark, d):
     return table(spark, d, "part").select("p_partkey", S.party_in_role(role).alias("party"))
 
 
-@query("SELECT c_custkey, 'post' AS namespace FROM customer")
+@query("SELECT o_orderkey, split_part(lower(o_orderpriority) || ':' || o_orderkey, ':', 1) AS namespace FROM orders")
 def id_namespace(spark, d):
-    return table(spark, d, "customer").select("c_custkey", S.id_namespace(F.concat(F.lit("post:"), "c_name")).alias("namespace"))
+    made = F.concat(F.lower("o_orderpriority"), F.lit(":"), F.col("o_orderkey").cast("string"))
+    return table(spark, d, "orders").select("o_orderkey", S.id_namespace(made).alias("namespace"))
 
 
 @query(
@@ -504,7 +516,7 @@ def initial_date(spark, d):
     return table(spark, d, "orders").select("o_orderkey", S.initial_date(F.when(k == 0, F.date_format("o_orderdate", "yyyy-MM-dd")).when(k == 1, "soon"), F.lit("2026-05-17").cast("date")).alias("day"))
 
 
-@query("SELECT p_partkey, sha256(concat_ws(chr(1), p_name, CASE WHEN p_size % 2 = 0 THEN p_brand END, p_type)) AS hash FROM part")
+@query("SELECT p_partkey, sha256(length(p_name) || ':' || p_name || CASE WHEN p_size % 2 = 0 THEN length(p_brand) || ':' || p_brand ELSE '-' END || length(p_type) || ':' || p_type) AS hash FROM part")
 def content_hash(spark, d):
     return table(spark, d, "part").select("p_partkey", S.content_hash("p_name", F.when(F.col("p_size") % 2 == 0, F.col("p_brand")), "p_type").alias("hash"))
 
@@ -518,11 +530,11 @@ def explode_child(spark, d):
     return lines.select("doc_id", "pos", F.length("line").cast("long").alias("chars"))
 
 
-@query("SELECT doc_id, word, count(*) AS n FROM (SELECT doc_id, unnest(string_split(line, ' ')) AS word FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)) WHERE length(word) = 2 GROUP BY 1, 2")
+@query("SELECT doc_id, word, count(*) AS n FROM (SELECT doc_id, unnest(string_split(line, ' ')) AS word FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)) GROUP BY 1, 2")
 def explode_nested(spark, d):
     lines = table(spark, d, "documents").select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
     words = lines.select("doc_id", F.explode(F.split("line", " ")).alias("word"))
-    return words.where(F.length("word") == 2).groupBy("doc_id", "word").agg(F.count("*").alias("n"))
+    return words.groupBy("doc_id", "word").agg(F.count("*").alias("n"))
 
 
 @query(f"SELECT page_id, p AS param FROM pages LEFT JOIN LATERAL (SELECT unnest(string_split(regexp_extract(url, '{QUERY_PART}', 1), '&')) AS p) ON p <> ''")
@@ -532,12 +544,12 @@ def explode_outer(spark, d):
 
 
 @query(
-    """WITH RECURSIVE n AS (SELECT p_partkey AS node, p_partkey // 10 AS parent FROM part), t AS (
-      SELECT node, node AS root, 0 AS depth, node::VARCHAR AS path FROM n WHERE parent NOT IN (SELECT node FROM n)
+    """WITH RECURSIVE n AS (SELECT p_partkey AS node, nullif(p_partkey // 10, 0) AS parent FROM part), t AS (
+      SELECT node, node AS root, 0 AS depth, node::VARCHAR AS path FROM n WHERE parent IS NULL OR parent NOT IN (SELECT node FROM n)
       UNION ALL SELECT n.node, t.root, t.depth + 1, t.path || '/' || n.node FROM t JOIN n ON n.parent = t.node) SELECT * FROM t"""
 )
 def recursive_tree(spark, d):
-    return graph.hierarchy(table(spark, d, "part").select("p_partkey", F.expr("p_partkey div 10").alias("parent")), "p_partkey", "parent")
+    return graph.hierarchy(table(spark, d, "part").select("p_partkey", F.expr("nullif(p_partkey div 10, 0)").alias("parent")), "p_partkey", "parent")
 
 
 @query(

@@ -90,7 +90,7 @@ def test_latest_version_prefers_open_then_last_position(spark):
 def test_version_at(spark):
     names = spark.createDataFrame([("o", 0, "Old", None, d("2019-12-31")), ("o", 1, "New", d("2020-01-01"), None)], "id string, pos int, value string, f date, u date")
     facts = spark.createDataFrame([(1, "o", d("2019-05-01")), (2, "o", d("2021-05-01")), (3, "x", d("2021-05-01"))], "n int, id string, at date")
-    assert {r["n"]: r["value"] for r in temporal.version_at(facts, names, "id", "at", "f", "u", "pos", ["n"]).collect()} == {1: "Old", 2: "New", 3: None}
+    assert {r["n"]: r["value"] for r in temporal.version_at(facts, names, "id", "at", "f", "u", "pos").collect()} == {1: "Old", 2: "New", 3: None}
 
 
 @pytest.mark.parametrize(("limit", "admitted"), [(8, [True, True, False]), (0, [False] * 3), (None, [True] * 3)])
@@ -102,9 +102,20 @@ def test_budget(spark, limit, admitted):
 def test_ledger():
     ledger = budget.CostLedger(8)
     for expected in (False, False, True):
-        assert ledger.is_spent() is expected
-        ledger.charge(4)
-    assert not budget.CostLedger(None).is_spent()
+        assert ledger.exceeded() is expected
+        ledger.add(4)
+    assert (ledger.spent_usd, ledger.limit_usd, ledger.charge(1)) == (12, 8, False)
+    free = budget.CostLedger(None)
+    assert not free.exceeded() and free.charge(5) and free.spent_usd == 5
+
+
+def test_ledger_counts_every_thread():
+    from concurrent.futures import ThreadPoolExecutor
+
+    ledger = budget.CostLedger(10_000)
+    with ThreadPoolExecutor(8) as pool:
+        admitted = sum(pool.map(lambda _: ledger.charge(1), range(20_000)))
+    assert admitted == ledger.spent_usd == 10_000
 
 
 def test_prefix_sum_over_ranges(spark):
@@ -124,6 +135,53 @@ def test_diff_sees_nulls_and_changes(spark):
     assert {(r["id"], r["change"]) for r in quality.snapshot_diff(old, new, "id").collect()} == {(1, "removed"), (3, "changed"), (4, "added")}
 
 
+def test_diff_takes_null_keys_as_keys(spark):
+    old = spark.createDataFrame([(None, "a", None), (2, "b", 1)], "id int, v string, w int")
+    new = spark.createDataFrame([(None, "a", None), (2, "b", None)], "id int, v string, w int")
+    assert [(r["id"], r["change"]) for r in quality.snapshot_diff(old, new, "id").collect()] == [(2, "changed")]
+    assert quality.snapshot_diff(old, new.where("id = 2"), "id").where("id is null").first()["change"] == "removed"
+
+
+def test_crowded_keys_lose_no_pair(spark):
+    import random
+
+    rng, rows = random.Random(3), []
+    for i in range(120):
+        start = dt.date(2000, 1, 1) + dt.timedelta(days=rng.randrange(3000))
+        end = None if rng.random() < 0.1 else start + dt.timedelta(days=rng.choice([0, 3, 400, 1500]))
+        rows.append((rng.choice("aab"), i % 110, None if i == 7 else start, end))
+    rows.append((None, 1, d("2000-01-01"), None))
+    df = spark.createDataFrame(rows, "k string, i int, a date, b date")
+    direct, sliced = (sorted((r["k"], r["a"], r["b"]) for r in temporal.overlapping_pairs(df, "k", "i", "a", "b", crowded=n).collect()) for n in (1000, 5))
+    assert direct == sliced and len(direct) > 300
+
+
+def test_version_at_equals_the_join(spark):
+    import random
+
+    rng, day = random.Random(4), lambda: dt.date(2000, 1, 1) + dt.timedelta(days=rng.randrange(400))
+    versions = []
+    for i in range(60):
+        start = None if rng.random() < 0.1 else day()
+        versions.append((rng.choice("abc"), i, start, None if rng.random() < 0.1 else (start or d("2000-01-01")) + dt.timedelta(days=rng.randrange(90)), {"n": i}))
+    facts = [(n, rng.choice(["a", "b", "c", "x", None]), None if n == 5 else day()) for n in range(150)]
+    found = temporal.version_at(spark.createDataFrame(facts, "n int, id string, at date"), spark.createDataFrame([*versions, (None, 99, None, None, {})], "id string, pos int, f date, u date, m map<string,int>"), "id", "at", "f", "u", "pos")
+    expected = {}
+    for n, key, at in facts:
+        inside = [(u is None, u or dt.date.min, f or dt.date.min, p) for k, p, f, u, _ in versions if k == key and (f is None or (at and f <= at)) and (u is None or (at and u >= at))]
+        expected[n] = max(inside)[3] if inside else None
+    assert {r["n"]: r["pos"] for r in found.collect()} == expected
+    assert all(r["m"] == ({"n": r["pos"]} if r["pos"] is not None else None) for r in found.collect())
+
+
+def test_ranges_by_two_searches(spark):
+    from tempora.operators.prefix import range_number
+
+    cuts = [float(x * x) for x in range(50)]
+    df = spark.createDataFrame([(float(v),) for v in range(-3, 2600, 7)], "v double").select("v", range_number(F.col("v"), cuts).alias("n"))
+    assert all(r["n"] == sum(c <= r["v"] for c in cuts) for r in df.collect())
+
+
 def test_hierarchy_with_dangling_parent_and_cycle(spark):
     df = spark.createDataFrame([("a", None), ("b", "a"), ("c", "gone"), ("x", "y"), ("y", "x")], "id string, parent string")
     assert {(r["node"], r["root"], r["depth"], r["path"]) for r in graph.hierarchy(df, "id", "parent").collect()} == {("a", "a", 0, "a"), ("b", "a", 1, "a/b"), ("c", "c", 0, "c")}

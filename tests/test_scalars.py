@@ -61,7 +61,8 @@ def test_spine(spark):
     assert days.count() == 46_188
 
 
-def test_content_hash_skips_nulls_and_tells_parts_apart(spark):
-    df = spark.createDataFrame([("a", "b"), ("ab", None), ("a", "b")], "x string, y string")
-    one, two, three = (r[0] for r in df.select(S.content_hash("x", "y")).collect())
-    assert one == three != two
+def test_content_hash_tells_all_parts_apart(spark):
+    rows = [("a", None, "b"), ("a", "b", None), ("ab", None, None), ("a", "", "b"), ("a", "-", "b"), ("a1:b", None, None)]
+    df = spark.createDataFrame([*rows, rows[0]], "x string, y string, z string")
+    found = [r[0] for r in df.select(S.content_hash("x", "y", "z")).collect()]
+    assert found[0] == found[-1] and len(set(found)) == len(rows)
