@@ -12,17 +12,29 @@ def _session():
 
 
 def validate(args: argparse.Namespace) -> int:
-    """Cross-record rules over a data folder."""
+    """Records against their schemas, and the links between them, over a data folder."""
     import os
+    from functools import reduce
 
     from .operators import quality
+    from .sources import rules, yaml_tree
     from .sources.dataset import Dataset
 
+    folder = os.path.realpath(args.data)
+    if not os.path.isdir(folder):
+        print(f"no such folder: {folder}")
+        return 2
+    names = list(rules.REQUIRED)
+    files = sum(len(yaml_tree.list_files(os.path.join(folder, name))) for name in names)
+    if not files:
+        print(f"no records below {folder}")
+        return 2
     spark = _session()
-    root = os.path.dirname(os.path.realpath(args.data))
-    data = Dataset(spark, root)
-    issues = quality.all_issues(data.organisaties.df, data.personen.df, data.posten.df, data.mandaten.df).cache()
-    files = sum(e.df.count() for e in (data.organisaties, data.personen, data.posten))
+    data = Dataset(spark, os.path.dirname(folder), data=os.path.basename(folder))
+    stated = rules.rules(args.schemas)
+    misfits = [yaml_tree.schema_issues(spark, f"{folder}/{name}", name, stated[name]) for name in names]
+    linked = quality.all_issues(data.organisaties.df, data.personen.df, data.posten.df, data.mandaten.df)
+    issues = reduce(lambda a, b: a.unionByName(b), misfits, linked).cache()
     for row in quality.report(issues).orderBy("severity", "rule").toLocalIterator():
         print(f"{row['severity']}\t{row['rule']}\t{row['n']}")
     print(f"{files} files")
@@ -60,7 +72,7 @@ def parser() -> argparse.ArgumentParser:
     sub = p.add_subparsers(required=True)
     v = sub.add_parser("validate", help="check records and the links between them")
     v.add_argument("--data", default="data")
-    v.add_argument("--schemas", default="schemas", help="accepted for compatibility; the schemas are built in")
+    v.add_argument("--schemas", default="schemas", help="folder of JSON Schema files, each named after a kind of record; built-in ones where it has none")
     v.add_argument("--strict", action="store_true", help="fail on warnings, too")
     v.set_defaults(run=validate)
     d = sub.add_parser("diff", help="compare a cache with the data")

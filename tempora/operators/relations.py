@@ -31,6 +31,12 @@ def mandates(persons: DataFrame) -> DataFrame:
     return clean_mandates(exploded.select("person_id", "pos", "m.*"))
 
 
+def mandates_by_post(rows: DataFrame) -> DataFrame:
+    """The mandates of each post as an array, by person and position. Arrays grow with their post: join on the key where one may be large."""
+    each = F.struct("person_id", "pos", "mandate_id", "role", "start_date", "end_date")
+    return rows.groupBy("post_id").agg(F.array_sort(F.collect_list(each)).alias("mandates"))
+
+
 def org_names(orgs: DataFrame) -> DataFrame:
     rows = orgs.select(F.col("id").alias("org_id"), F.posexplode("names").alias("pos", "n"))
     return rows.select("org_id", "pos", "n.value", "n.abbr", parse_date("n.valid_from").alias("valid_from"), parse_date("n.valid_until").alias("valid_until"))

@@ -1 +1,5 @@
-"""Named plans over the driver's tables, each with the SQL that should give the same rows."""
+"""Queries over the driver's tables."""
+
+from . import more, queries
+
+__all__ = ["more", "queries"]

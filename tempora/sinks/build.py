@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import scalars as S
 from ..operators import quality
+from ..sources import store
 
 #: Data package types by Spark type, and the vocabulary of the JSON-LD context.
 TABLE_TYPES = {"string": "string", "int": "integer", "bigint": "integer", "double": "number", "boolean": "boolean", "date": "date", "timestamp": "datetime"}
@@ -43,16 +45,19 @@ def build_datapackage(tables: dict[str, DataFrame], folder: str, name: str = "re
     resources = []
     for table, df in tables.items():
         columns = [{"name": c, "type": TABLE_TYPES.get(kind, "string")} for c, kind in flat(df).dtypes]
-        parts = sorted(f"{table}/{f}" for f in os.listdir(f"{folder}/{table}") if f.endswith(".csv"))
+        parts = [f"{table}/{f}" for f in store.file_names(df.sparkSession, f"{folder}/{table}", ".csv")]
         resources.append({"name": table, "path": parts, "profile": "tabular-data-resource", "schema": {"fields": columns}})
     path = f"{folder}/datapackage.json"
-    with open(path, "w", encoding="utf-8") as f:
-        json.dump({"name": name, "profile": "tabular-data-package", "resources": resources}, f, ensure_ascii=False, indent=2)
+    if resources:
+        package = {"name": name, "profile": "tabular-data-package", "resources": resources}
+        store.write_text(next(iter(tables.values())).sparkSession, path, json.dumps(package, ensure_ascii=False, indent=2))
     return path
 
 
 def build_sqlite(tables: dict[str, DataFrame], path: str) -> str:
-    """One file, written beside and renamed; a table of the same name is replaced."""
+    """One file on the driver's disk, written beside and renamed; a table of the same name is replaced."""
+    path = path.removeprefix("file://")
+    os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
     temporary = f"{path}.tmp"
     if os.path.exists(temporary):
         os.remove(temporary)
@@ -105,6 +110,42 @@ def write_diff(spark: SparkSession, old: DataFrame, new: DataFrame, key: str, fo
     return n
 
 
+def build_yaml(rows: DataFrame, folder: str, key: str = "id") -> int:
+    """A YAML file a row, named by the last part of its key, below the folder that the parts before it name; gives their number.
+
+    Tasks write their own files, so a task that runs again replaces them."""
+    fields = rows.columns
+    texts = rows.select(F.col(key).alias("__key"), F.to_json(F.struct(*[F.col(f"`{c}`") for c in fields]), {"ignoreNullFields": "false"}).alias("__record"))
+
+    def write(batches):
+        import pandas as pd
+        import yaml
+        from pyarrow import fs
+
+        for batch in batches:
+            for name, record in zip(batch["__key"], batch["__record"], strict=True):
+                path = f"{folder}/{name.replace(':', '/')}.yaml"
+                system, place = fs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
+                system.create_dir(place.rpartition("/")[0], recursive=True)
+                with system.open_output_stream(place) as f:
+                    f.write(yaml.safe_dump(json.loads(record), allow_unicode=True, sort_keys=False).encode())
+            yield pd.DataFrame({"n": [len(batch)]})
+
+    return texts.mapInPandas(write, "n long").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+
+
+def group_pages(rows: DataFrame, group: str, label: str, href: str | None = None, default: str = S.DEFAULT_GROUP) -> DataFrame:
+    """A static page a group: group, items and html, a heading with the number of items and their list in Dutch order.
+
+    A page holds its group's items, as the page that a browser gets does."""
+    name = F.coalesce(F.col(group), F.lit(default))
+    item = S.escaped(label) if href is None else F.coalesce(S.link(href, label), S.escaped(label))
+    each = F.struct(F.collate(F.lower(F.col(label)), "nl").alias("o"), F.col(label).alias("l"), F.concat(F.lit("<li>"), item, F.lit("</li>")).alias("h"))
+    found = rows.where(F.col(label).isNotNull()).groupBy(name.alias(group)).agg(F.count("*").alias("items"), F.array_sort(F.collect_list(each)).alias("each"))
+    head = F.concat(F.lit("<h2>"), S.escaped(group), F.lit(" ("), S.dutch_number("items"), F.lit(")</h2>"))
+    return found.select(group, "items", F.concat(head, F.lit("<ul>"), F.array_join(F.transform("each", lambda x: x["h"]), ""), F.lit("</ul>")).alias("html"))
+
+
 TARGETS = {"csv": build_csv, "datapackage": build_datapackage, "sqlite": lambda t, d: build_sqlite(t, f"{d}/register.sqlite"), "viz": build_viz, "jsonld": build_jsonld}
 
 
@@ -112,6 +153,5 @@ def main(tables: dict[str, DataFrame], folder: str, targets: list[str] | None =
     """Build the targets named (all by default), each in a folder of its own."""
     done = {}
     for target in targets or list(TARGETS):
-        os.makedirs(f"{folder}/{target}", exist_ok=True)
         done[target] = TARGETS[target](tables, f"{folder}/{target}")
     return done

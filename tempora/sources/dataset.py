@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import relations
-from . import schema
+from . import schema, store
 from .yaml_tree import read_tree
 
 
@@ -39,13 +39,13 @@ class Entity:
 
 
 class Dataset:
-    """A read-only handle: organisaties, personen, posten, mandaten below root/data.
+    """A read-only handle: organisaties, personen, posten, mandaten below root/data (or another folder of the root).
 
     With a columnar folder the YAML tree is landed there as Parquet once and read from there.
     """
 
-    def __init__(self, spark: SparkSession, root: str, columnar: str | None = None):
-        self.spark, self.root, self.columnar = spark, str(root), columnar
+    def __init__(self, spark: SparkSession, root: str, columnar: str | None = None, data: str = "data"):
+        self.spark, self.root, self.columnar, self.data = spark, str(root), columnar, data
         self.organisaties = Entity(lambda: self._table("organisaties"))
         self.personen = Entity(lambda: self._table("personen"))
         self.posten = Entity(lambda: self._table("posten"))
@@ -60,8 +60,16 @@ class Dataset:
             raise FileNotFoundError(f"no data folder in {root}")
         return cls(spark, root, columnar)
 
+    @classmethod
+    def open(cls, spark: SparkSession, uri: str, columnar: str | None = None) -> Dataset:
+        """As local, for a folder on any store that Spark reaches."""
+        for path in (uri, f"{uri.rstrip('/')}/data"):
+            if not store.exists(spark, path):
+                raise FileNotFoundError(f"no such folder: {path}")
+        return cls(spark, uri.rstrip("/"), columnar)
+
     def _folder(self, name: str) -> str:
-        return f"{self.root}/data/{name}"
+        return f"{self.root}/{self.data}/{name}"
 
     def _table(self, name: str) -> DataFrame:
         kind = schema.struct(schema.ENTITIES[name])
@@ -73,13 +81,12 @@ class Dataset:
         return self.spark.read.parquet(path)
 
     def _landed(self, path: str) -> bool:
-        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
-        return hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(hadoop)
+        return store.exists(self.spark, f"{path}/_SUCCESS")
 
     def _mandates(self) -> DataFrame:
         embedded = relations.mandates(self.personen.df)
         folder = self._folder("mandaten")
-        if not os.path.isdir(folder):
+        if not store.exists(self.spark, folder):
             return embedded
         alone = read_tree(self.spark, folder, schema.struct("person_id STRING, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.mandate().fields)))
         return embedded.unionByName(relations.clean_mandates(alone.withColumn("pos", F.lit(None).cast("int"))), allowMissingColumns=True)
@@ -88,11 +95,9 @@ class Dataset:
         for entity in (self.organisaties, self.personen, self.posten, self.mandaten):
             entity.reload()
         if self.columnar is not None:
-            import shutil
-
             for name in schema.ENTITIES:
                 path = f"{self.columnar}/{name}"
-                shutil.rmtree(path, ignore_errors=True)
+                store.delete(self.spark, path)
                 self.spark.catalog.refreshByPath(path)
 
     def load_all(self) -> dict[str, DataFrame]:
@@ -105,7 +110,7 @@ class Dataset:
             "posts": self.posten.df,
             "persons": self.personen.df,
             "mandates": m,
-            "mandates_by_post": m.groupBy("post_id").agg(F.collect_list(F.struct("person_id", "pos", "mandate_id", "role", "start_date", "end_date")).alias("mandates")),
+            "mandates_by_post": relations.mandates_by_post(m),
         }
 
     def views(self) -> None:

@@ -125,6 +125,42 @@ def test_command_line(spark, root, capsys):
         cli.main(["--help"])
 
 
+def test_validate_takes_the_folder_that_it_is_given(spark, root, tmp_path, capsys):
+    import shutil
+
+    assert cli.main(["validate", "--data", str(tmp_path / "nosuch")]) == 2
+    (tmp_path / "data").mkdir()
+    assert cli.main(["validate", "--data", str(tmp_path / "data")]) == 2
+    shutil.copytree(root / "data", tmp_path / "_cache")
+    (tmp_path / "_cache/posten/deep/er/y.yaml").write_text("id: post:y\nlabel: [a]\nseat_count: many\ncolour: red\n")
+    capsys.readouterr()
+    assert cli.main(["validate", "--data", str(tmp_path / "_cache")]) == 1
+    out = capsys.readouterr().out
+    assert "5 files" in out and "error\tschema\t6" in out and "warning\tschema\t1" in out
+
+
+def test_validate_reads_schema_files(spark, root, tmp_path, capsys):
+    (tmp_path / "post.schema.json").write_text(json.dumps({"type": "object", "required": ["colour"], "properties": {"id": {"$ref": "#/$defs/id"}, "seat_count": {"enum": [2, 3]}}, "$defs": {"id": {"type": "string", "pattern": "^org:"}}}))
+    assert cli.main(["validate", "--data", str(root / "data"), "--schemas", str(tmp_path)]) == 1
+    assert "error\tschema\t3" in capsys.readouterr().out
+
+
+def test_yaml_files_round_trip(spark, tmp_path):
+    from tempora.sources import schema
+    from tempora.sources.yaml_tree import read_tree
+
+    rows = spark.createDataFrame([("post:a", "0123", 2), ("post:x:b", "né: 'q'\nz", None)], "id string, label string, seat_count int")
+    assert build.build_yaml(rows, f"file://{tmp_path}/posten") == 2
+    back = read_tree(spark, f"file://{tmp_path}/posten", schema.struct(schema.POSTS))
+    assert sorted(r for r in back.select("id", "label", "seat_count").collect()) == sorted(r for r in rows.collect())
+
+
+def test_pages_of_groups(spark):
+    rows = spark.createDataFrame([("a", "b & co", "/x"), ("a", "Aa", ""), (None, "z", None), ("a", None, "/y")], "k string, l string, h string")
+    pages = {r["k"]: (r["items"], r["html"]) for r in build.group_pages(rows, "k", "l", "h").collect()}
+    assert pages == {"a": (2, '<h2>a (2)</h2><ul><li>Aa</li><li><a href="/x">b &amp; co</a></li></ul>'), "overig": (1, "<h2>overig (1)</h2><ul><li>z</li></ul>")}
+
+
 @pytest.mark.parametrize("name", [m.name for m in pkgutil.iter_modules(fetchers.__path__)])
 def test_feeds_keep_their_contract(name, capsys):
     module = importlib.import_module(f"tempora.fetchers.{name}")
