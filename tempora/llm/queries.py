@@ -37,7 +37,7 @@ def op3_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     folder = shared_folder(spark)
     write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html"), folder)
-    return read_archives(spark, folder).select("page_id", "payload_bytes", "payload_digest", F.col("warc_type").alias("record_type"), "refers_to")
+    return read_archives(spark, folder, payload="digest").select("page_id", "payload_bytes", "payload_digest", F.col("warc_type").alias("record_type"), "refers_to")
 
 
 def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,10 +3,13 @@
 Every record is a gzip member of its own. The member's header has an extra field "LX" with the compressed and the plain length, so a
 reader that does not want a record's payload inflates its first bytes for the headers and goes to the next member.
 
-The source (format "warc") plans partitions from the files' sizes. Equality predicates on warc_type, record_id, target_uri,
-payload_digest, refers_to and page_id are pushed down: they are tested on the headers, and the payload of a record that fails is never inflated
-(with the option payload "false" none is). Members without the extra field, and files that are not compressed, are read
-in full.
+The source (format "warc") plans partitions from the files' sizes and reads each file as a stream: READ_BYTES and one record's wanted payload are
+held, whatever the file's size. Predicates on warc_type, record_id, target_uri, warc_date, refers_to and page_id (equality, lists, beginnings, ends,
+parts, order; stated when reading, or pushed down by Spark) are tested on the headers, which are inflated first; the payload of a record that fails is never inflated where
+an LX field tells the member's end, and else inflated into nothing (with the option payload "false" so is every one; with "digest" payloads are
+measured and digested, not given). Members of any number of records, without the extra field, and files that are not compressed are read
+as well. payload_digest is the SHA-256 of the payload; a stated digest (sha256 in hex, sha1 in base32) is compared unless verify is "false", one of
+another kind is not.
 
 Of records with equal payloads of at least LEAST_SHARED bytes one is written as response, the others as revisits
 (profile identical-payload-digest) without a payload; each names the length and digest of the full payload.
@@ -18,7 +21,9 @@ an empty table writes no file; columns besides id, url and payload are not writt
 
 from __future__ import annotations
 
+import base64
 import hashlib
+import json
 import struct
 import uuid
 import zlib
@@ -27,7 +32,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from .storage import stash
 
@@ -40,8 +45,12 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
 
 SCHEMA = "page_id long, warc_type string, record_id string, target_uri string, warc_date string, payload_bytes long, payload_digest string, refers_to long, headers map<string,string>, payload binary"
-#: Columns whose equality predicates are tested on the headers, and the header of each.
-PUSHED = {"page_id": "X-Page-Id", "warc_type": "WARC-Type", "record_id": "WARC-Record-ID", "target_uri": "WARC-Target-URI", "payload_digest": "WARC-Payload-Digest", "refers_to": "X-Refers-To-Page"}
+#: Bytes read at a time: of a member whose end is known first so many as headers mostly have, otherwise more.
+FIRST_BYTES = 2048
+READ_BYTES = 1 << 16
+#: The longest headers of a record, and the bytes of rows in a batch.
+HEADER_BYTES = 1 << 20
+BATCH_BYTES = 8 << 20
 
 
 def member(plain: bytes, level: int = 6) -> bytes:
@@ -122,58 +131,158 @@ def _headers(block: bytes) -> dict[str, str]:
     return found
 
 
-class _Members:
-    """The records of a file's bytes: headers first, the block only if it is asked for."""
+class _Block:
+    """A record's block, which is read in pieces if at all."""
+
+    def __init__(self, plain: _Plain, size: int):
+        self.plain, self.left = plain, size
+
+    def pieces(self) -> Iterator[bytes]:
+        while self.left:
+            if not self.plain.held and not self.plain.more():
+                raise ValueError("a record ends before its Content-Length")
+            piece, self.plain.held = self.plain.held[: self.left], self.plain.held[self.left :]
+            self.left -= len(piece)
+            yield piece
+
+
+class _Plain:
+    """Records in a stream of plain pieces: headers first; what is not read of a block is dropped piece by piece."""
+
+    def __init__(self, pieces: Iterator[bytes]):
+        self.source, self.held = pieces, b""
+
+    def more(self) -> bool:
+        piece = next(self.source, None)
+        if piece is None:
+            return False
+        self.held += piece
+        return True
+
+    def __iter__(self) -> Iterator[tuple[dict[str, str], _Block]]:
+        while True:
+            while not (found := self.held.lstrip(b"\r\n")):
+                self.held = b""
+                if not self.more():
+                    return
+            self.held = found
+            while (cut := self.held.find(b"\r\n\r\n")) < 0:
+                if len(self.held) > HEADER_BYTES or not self.more():
+                    raise ValueError("no end of a record's headers")
+            headers, self.held = _headers(self.held[:cut]), self.held[cut + 4 :]
+            block = _Block(self, int(headers.get("Content-Length", 0)))
+            yield headers, block
+            for _ in block.pieces():
+                pass
 
-    def __init__(self, raw: bytes):
-        self.raw = memoryview(raw)
 
-    def __iter__(self) -> Iterator[tuple[dict[str, str], object]]:
-        raw, at, total = self.raw, 0, len(self.raw)
-        while at < total:
-            if bytes(raw[at : at + 2]) != b"\x1f\x8b":
-                yield from self._plain(bytes(raw[at:]))
-                return
-            size, head = self._length(at)
-            inflate = zlib.decompressobj(31)
-            if size is None:
-                plain = inflate.decompress(raw[at:])
-                at = total - len(inflate.unused_data)
-                yield from self._plain(plain)
-                continue
-            chunk = raw[at : at + size]
-            start, rest = b"", chunk
-            while (cut := start.find(b"\r\n\r\n")) < 0 and not inflate.eof:
-                start += inflate.decompress(rest, 2048)
-                rest = inflate.unconsumed_tail
-            headers = _headers(start[:cut])
+class Archive:
+    """The records of a seekable file, of which READ_BYTES and one piece of a block are held at a time. inflated counts plain bytes."""
 
-            def block(start=start, cut=cut, inflate=inflate, rest=rest, headers=headers) -> bytes:
-                return (start[cut + 4 :] + inflate.decompress(rest) + inflate.flush())[: int(headers.get("Content-Length", 0))]
+    def __init__(self, file):
+        self.file, self.inflated = file, 0
 
-            yield headers, block
-            at += size
-
-    def _length(self, at: int) -> tuple[int | None, int]:
-        raw = self.raw
-        if not raw[at + 3] & 4:
-            return None, 0
-        (extra,) = struct.unpack("<H", raw[at + 10 : at + 12])
-        p, end = at + 12, at + 12 + extra
-        while p + 4 <= end:
-            name, n = bytes(raw[p : p + 2]), struct.unpack("<H", raw[p + 2 : p + 4])[0]
-            if name == b"LX" and n == 8:
-                return struct.unpack("<I", raw[p + 4 : p + 8])[0], p
+    def __iter__(self) -> Iterator[tuple[dict[str, str], _Block]]:
+        while True:
+            at = self.file.tell()
+            start = self.file.read(12)
+            if not start:
+                return
+            if start[:2] != b"\x1f\x8b":
+                self.file.seek(at)
+                yield from _Plain(iter(lambda: self.file.read(READ_BYTES), b""))
+                return
+            size = self._length(start)
+            self.file.seek(at)
+            if size is None:
+                yield from _Plain(self._member())
+            else:  # one record; where it ends is known, so the rest need not be inflated
+                yield next(iter(_Plain(self._member(size))))
+                self.file.seek(at + size)
+
+    def _length(self, start: bytes) -> int | None:
+        """The compressed length that a member's LX field tells."""
+        if len(start) < 12 or not start[3] & 4:
+            return None
+        extra, p = self.file.read(struct.unpack("<H", start[10:12])[0]), 0
+        while p + 4 <= len(extra):
+            n = struct.unpack("<H", extra[p + 2 : p + 4])[0]
+            if extra[p : p + 2] == b"LX" and n == 8:
+                return struct.unpack("<I", extra[p + 4 : p + 8])[0]
             p += 4 + n
-        return None, 0
-
-    def _plain(self, plain: bytes) -> Iterator[tuple[dict[str, str], object]]:
-        at = 0
-        while (at := plain.find(b"WARC/", at)) >= 0 and (cut := plain.find(b"\r\n\r\n", at)) >= 0:
-            headers = _headers(plain[at:cut])
-            n = int(headers.get("Content-Length", 0))
-            yield headers, lambda a=cut + 4, n=n: plain[a : a + n]
-            at = cut + 4 + n
+        return None
+
+    def _member(self, size: int | None = None) -> Iterator[bytes]:
+        """The plain pieces of the gzip member here; the file then stands at its end."""
+        inflate, first = zlib.decompressobj(31), FIRST_BYTES if size else READ_BYTES
+        while not inflate.eof:
+            raw = inflate.unconsumed_tail or self.file.read(first if size is None else min(first, size))
+            piece = inflate.decompress(raw, first)
+            if not raw and not piece and not inflate.eof:
+                raise ValueError("a gzip member is cut short")
+            first = READ_BYTES
+            self.inflated += len(piece)
+            if piece:
+                yield piece
+        self.file.seek(self.file.tell() - len(inflate.unused_data))
+
+
+def _payload(headers: dict[str, str], block: _Block) -> Iterator[bytes]:
+    """The pieces of a record's payload: its block, without the head of an HTTP message."""
+    pieces = block.pieces()
+    if headers.get("Content-Type", "").startswith("application/http"):
+        head = b""
+        for piece in pieces:
+            head += piece
+            if (cut := head.find(b"\r\n\r\n")) >= 0:
+                yield head[cut + 4 :]
+                break
+    yield from pieces
+
+
+def _number(x: str | None) -> int | None:
+    try:
+        return int(x) if x is not None else None
+    except ValueError:
+        return None
+
+
+#: Columns that headers alone tell, and how.
+TOLD = {
+    "page_id": lambda h: _number(h.get("X-Page-Id")),
+    "refers_to": lambda h: _number(h.get("X-Refers-To-Page")),
+    "warc_type": lambda h: h.get("WARC-Type"),
+    "record_id": lambda h: h.get("WARC-Record-ID"),
+    "target_uri": lambda h: h.get("WARC-Target-URI"),
+    "warc_date": lambda h: h.get("WARC-Date"),
+}
+#: Predicates that are tested on headers: what holds of a value that is not null.
+TESTS = {
+    "EqualTo": lambda x, v: x == v,
+    "In": lambda x, v: x in v,
+    "StringStartsWith": lambda x, v: x.startswith(v),
+    "StringEndsWith": lambda x, v: x.endswith(v),
+    "StringContains": lambda x, v: v in x,
+    "GreaterThan": lambda x, v: x > v,
+    "GreaterThanOrEqual": lambda x, v: x >= v,
+    "LessThan": lambda x, v: x < v,
+    "LessThanOrEqual": lambda x, v: x <= v,
+    "IsNotNull": lambda x, v: True,
+}
+
+
+def holds(wanted: list[tuple], headers: dict[str, str]) -> bool:
+    """Whether a record can fulfil the predicates (name, column, value)."""
+    for test, column, value in wanted:
+        if column == "payload_digest":  # only a stated digest of the same kind can refuse
+            stated = headers.get("WARC-Payload-Digest", "")
+            if stated.startswith("sha256:") and stated != f"sha256:{value}":
+                return False
+        else:
+            told = TOLD[column](headers)
+            if told is None or not TESTS[test](told, value):
+                return False
+    return True
 
 
 class _Files(InputPartition):
@@ -185,17 +294,12 @@ class _Files(InputPartition):
 class WarcReader(DataSourceReader):
     def __init__(self, options: dict):
         self.path = options.get("path") or ""
-        self.want_payload = options.get("payload", "true").lower() != "false"
+        self.payload = options.get("payload", "true").lower()
+        if self.payload not in ("true", "false", "digest"):
+            raise ValueError(f"payload: true, false or digest, not {self.payload}")
+        self.verify = options.get("verify", "true").lower() == "true"
         self.part_bytes = int(options.get("partbytes", PART_BYTES))
-        self.wanted: dict[str, str] = {}
-
-    def pushFilters(self, filters):
-        for f in filters:
-            if isinstance(f, EqualTo) and len(f.attribute) == 1 and f.attribute[0] in PUSHED and f.value is not None and f.attribute[0] not in self.wanted:
-                value = str(f.value)
-                self.wanted[f.attribute[0]] = f"sha256:{value}" if f.attribute[0] == "payload_digest" else value
-            else:
-                yield f
+        self.wanted: list[tuple] = [tuple(x) for x in json.loads(options.get("where", "[]"))]
 
     def partitions(self):
         from pyarrow import fs
@@ -221,46 +325,60 @@ class WarcReader(DataSourceReader):
         held = 0
         store, _ = file_system(self.path)
         for path in partition.paths:
-            with store.open_input_stream(path, compression=None) as f:
-                raw = f.read()
-            for headers, block in _Members(raw):
-                if any(headers.get(PUSHED[c]) != v for c, v in self.wanted.items()):
-                    continue
-                row = self._row(headers, block)
-                rows.append(row)
-                held += len(row["payload"] or b"") + 500
-                if held >= 8 << 20:
-                    yield _batch(rows)
-                    rows, held = [], 0
+            with store.open_input_file(path) as f:
+                for headers, block in Archive(f):
+                    if not holds(self.wanted, headers):
+                        continue
+                    rows.append(self._row(headers, block))
+                    held += len(rows[-1]["payload"] or b"") + 500
+                    if held >= BATCH_BYTES:
+                        yield _batch(rows)
+                        rows, held = [], 0
         if rows:
             yield _batch(rows)
 
-    def _row(self, headers: dict[str, str], block) -> dict:
-        payload, digest = None, headers.get("WARC-Payload-Digest", "").removeprefix("sha256:") or None
-        size = headers.get("X-Payload-Length")
-        if self.want_payload and headers.get("WARC-Type") != "revisit":
-            payload = block()
-            if headers.get("Content-Type", "").startswith("application/http"):
-                payload = payload.partition(b"\r\n\r\n")[2]
-            size, told = len(payload), digest
-            digest = hashlib.sha256(payload).hexdigest()
-            if told is not None and told != digest:
-                raise ValueError(f"{headers.get('WARC-Record-ID')}: the payload does not have the digest {told}")
-        number = lambda x: int(x) if x is not None else None
+    def _row(self, headers: dict[str, str], block: _Block) -> dict:
+        stated = headers.get("WARC-Payload-Digest", "")
+        payload, digest = None, stated.removeprefix("sha256:") if stated.startswith("sha256:") else None
+        size = _number(headers.get("X-Payload-Length"))
+        if self.payload != "false" and headers.get("WARC-Type") != "revisit":
+            full, other, size, kept = hashlib.sha256(), hashlib.sha1(), 0, []
+            for piece in _payload(headers, block):
+                full.update(piece)
+                size += len(piece)
+                if stated.startswith("sha1:"):
+                    other.update(piece)
+                if self.payload == "true":
+                    kept.append(piece)
+            payload, told, digest = b"".join(kept) if self.payload == "true" else None, digest, full.hexdigest()
+            wrong = told not in (None, digest) or (stated.startswith("sha1:") and stated[5:] != base64.b32encode(other.digest()).decode())
+            if wrong and self.verify:
+                raise ValueError(f"{headers.get('WARC-Record-ID')}: the payload does not have the digest {stated}")
         return {
-            "page_id": number(headers.get("X-Page-Id")),
-            "warc_type": headers.get("WARC-Type"),
-            "record_id": headers.get("WARC-Record-ID"),
-            "target_uri": headers.get("WARC-Target-URI"),
-            "warc_date": headers.get("WARC-Date"),
-            "payload_bytes": number(size),
+            **{c: tell(headers) for c, tell in TOLD.items()},
+            "payload_bytes": size,
             "payload_digest": digest,
-            "refers_to": number(headers.get("X-Refers-To-Page")),
             "headers": list(headers.items()),
             "payload": payload,
         }
 
 
+class PushdownReader(WarcReader):
+    """Takes what Spark pushes down. Spark keeps a relation's last pushed predicates for all queries over it, so a relation with
+    the option "pushdown" is for one query with one set of filters; predicates in the option "where" have no such limit."""
+
+    def pushFilters(self, filters):
+        for f in filters:
+            name, column = type(f).__name__, f.attribute[0] if len(getattr(f, "attribute", ())) == 1 else None
+            value = getattr(f, "value", None)
+            if column in TOLD and name in TESTS and (value is not None or name == "IsNotNull"):
+                self.wanted.append((name, column, value))
+                continue
+            if column == "payload_digest" and name == "EqualTo" and value is not None:
+                self.wanted.append((name, column, value))
+            yield f
+
+
 _ARROW = pa.schema([("page_id", pa.int64()), ("warc_type", pa.string()), ("record_id", pa.string()), ("target_uri", pa.string()), ("warc_date", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("refers_to", pa.int64()), ("headers", pa.map_(pa.string(), pa.string())), ("payload", pa.binary())])
 
 
@@ -269,7 +387,7 @@ def _batch(rows: list[dict]) -> pa.RecordBatch:
 
 
 class WarcDataSource(DataSource):
-    """spark.read.format("warc").option("payload", "true" | "false").load(folder or file)"""
+    """spark.read.format("warc").option("payload", "true" | "false" | "digest").option("verify", "true" | "false").load(folder or file)"""
 
     @classmethod
     def name(cls) -> str:
@@ -279,14 +397,28 @@ class WarcDataSource(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> WarcReader:
-        return WarcReader(self.options)
+        return (PushdownReader if self.options.get("pushdown", "false").lower() == "true" else WarcReader)(self.options)
 
 
-def read_archives(spark, folder: str, payload: bool = True) -> DataFrame:
-    """The records of all archives below a folder, with predicate pushdown."""
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+def read_archives(spark, folder: str, payload: bool | str = True, verify: bool = True, where: list[tuple] | None = None, pushdown: bool = False) -> DataFrame:
+    """The records of all archives below a folder. payload "digest": read, measured and digested, not given.
+
+    where: predicates (test, column, value) that the reader tests on headers, as ("EqualTo", "warc_type", "response"), by the names of
+    TESTS, of the columns of TOLD, or EqualTo of payload_digest. With pushdown Spark hands the reader those that the query
+    states, for one query (see PushdownReader).
+    """
+    for test, column, _ in where or []:
+        if (column not in TOLD or test not in TESTS) and (test, column) != ("EqualTo", "payload_digest"):
+            raise ValueError(f"headers do not tell {test} of {column}")
+    if pushdown:
+        spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(WarcDataSource)
-    return spark.read.format("warc").option("payload", str(payload).lower()).load(folder)
+    reader = spark.read.format("warc").option("payload", str(payload).lower()).option("verify", str(verify).lower()).option("pushdown", str(pushdown).lower())
+    found = reader.option("where", json.dumps(where or [])).load(folder)
+    for _, column, value in where or []:
+        if column == "payload_digest":  # headers can only refuse
+            found = found.where(F.col(column) == value)
+    return found
 
 
 ORACLE_SQL = """
