@@ -11,6 +11,9 @@ normalised between what chance would share, plus a margin, and all it could shar
 
 A digest depends on its text alone: the ranks are a rule, not learned.
 
+A text under SHORT_TEXT bytes has so few windows that the rarest of them are all of them: there each window of SHORT_FEATURE bytes is
+selected, whatever its rank.
+
 Defined results: null counts as empty; a text under SHORT_FEATURE bytes or without any feature has one, all its bytes; an empty text has the digest of that, so empty texts are alike; rows that repeat have equal digests; the document after a
 row that repeats is the next row in order of id and a hash of the text; null ids come first; an empty table gives an empty table.
 """
@@ -42,7 +45,7 @@ PER_FILTER = 160
 SHORT_TEXT = 160
 SHORT_FEATURE = 6
 MARGIN = 0.3
-PART_BYTES = 12 << 20
+PART_BYTES = 64 << 20
 
 _NONE = np.int64(1) << 62
 _U = np.uint64
@@ -169,6 +172,20 @@ def fingerprints(docs: DataFrame, text: str = "text", output: str = "fingerprint
     return named(docs.mapInArrow(run, schema))
 
 
+def ranges_before(ids: np.ndarray, ties: np.ndarray, rows: np.ndarray, tie: np.ndarray) -> np.ndarray:
+    """How many of the bounds (ids, ties), in order, are no larger than each row."""
+    low, high = np.searchsorted(ids, rows, "left"), np.searchsorted(ids, rows, "right")
+    out = low.copy()
+    some = np.flatnonzero(high > low)
+    one = some[high[some] == low[some] + 1]
+    out[one] += ties[low[one]] <= tie[one]
+    more = some[high[some] > low[some] + 1]
+    for k in np.unique(low[more]).tolist():  # ids with several bounds
+        at = more[low[more] == k]
+        out[at] += np.searchsorted(ties[k : high[at[0]]], tie[at], "right")
+    return out
+
+
 _RESULT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
@@ -177,38 +194,44 @@ def compare_with_edits(docs: DataFrame, text: str = "text", key: str = "doc_id")
 
     Edited: the last floor(n / 4) code points are replaced by the first as many (or all) of the next document in ascending id order.
 
-    Documents are dealt to ranges of ids; a range also gets the first document of the next one, the last range that of
-    the first. So the texts are shuffled once and no task holds more than a range.
+    Documents are dealt to ranges of ids (and, where ids repeat or are null, of hashes of their texts); a range also gets the first
+    document of the next one, the last range that of the first. So the texts are shuffled once and no task holds more than a range. Where
+    ranges begin is a row a range of PART_BYTES, no more than Spark itself keeps of a range partitioning.
     """
-    light = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("__text"))
-    parts = max(8, -(-text_bytes(docs, text) // PART_BYTES))
+    spark = docs.sparkSession
+    light = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("__text"))
+    light = light.withColumn("__tie", F.xxhash64("__text"))
+    parts = max(4 * spark.sparkContext.defaultParallelism, -(-text_bytes(docs, f"`{text}`") // PART_BYTES))
 
     def least(batches):
-        first = None
+        done = False
         for batch in batches:
-            for x in batch["doc_id"].to_pylist()[:1] if first is None else ():
-                first = (x,)
-        if first is not None:
-            yield pa.RecordBatch.from_pydict({"first": pa.array(first, pa.int64())})
-
-    # the smallest id of each range: as many numbers as ranges
-    ranged = light.select("doc_id").repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id").mapInArrow(least, "first long").distinct()
-    firsts = sorted((r["first"] for r in ranged.collect()), key=lambda x: (x is not None, x or 0))
-    count = max(1, len(firsts))
-    numbers = np.array([x if x is not None else -(2**63) for x in firsts], np.int64)
+            if not done and len(batch):
+                done = True
+                yield batch.slice(0, 1)
+
+    order = ["doc_id", "__tie"]
+    ranged = light.select(*order).repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(least, "doc_id long, __tie long").distinct()
+    firsts = ranged.toArrow()
+    ids, ties = firsts["doc_id"].fill_null(-(2**63)).to_numpy(), firsts["__tie"].to_numpy()
+    place = np.lexsort([ties, ids])
+    bounds = spark.sparkContext.broadcast((ids[place], ties[place]))
+    count = max(1, len(ids))
 
     def deal(batches):
+        ids, ties = bounds.value
         for batch in batches:
-            ids = batch["doc_id"].fill_null(-(2**63)).to_numpy(zero_copy_only=False)
-            part = np.maximum(np.searchsorted(numbers, ids, "right") - 1, 0)
-            edge = np.flatnonzero(numbers[part] == ids)  # these come first in their range
-            both = batch.take(pa.array(np.concatenate([np.arange(len(ids)), edge])))
+            rows, tie = batch["doc_id"].fill_null(-(2**63)).to_numpy(zero_copy_only=False), batch["__tie"].to_numpy()
+            after = ranges_before(ids, ties, rows, tie)
+            part = np.maximum(after - 1, 0)
+            edge = np.flatnonzero((ids[part] == rows) & (ties[part] == tie))  # these come first in their range
+            both = batch.take(pa.array(np.concatenate([np.arange(len(rows)), edge])))
             where = np.concatenate([part, (part[edge] - 1) % count])
-            turn = np.concatenate([np.zeros(len(ids), np.int32), np.ones(len(edge), np.int32)])
-            yield pa.RecordBatch.from_arrays([*both.columns, pa.array(where.astype(np.int32)), pa.array(turn)], names=["doc_id", "__text", "__part", "__after"])
+            turn = np.concatenate([np.zeros(len(rows), np.int32), np.ones(len(edge), np.int32)])
+            yield pa.RecordBatch.from_arrays([*both.columns, pa.array(where.astype(np.int32)), pa.array(turn)], names=["doc_id", "__text", "__tie", "__part", "__after"])
 
-    dealt = light.mapInArrow(deal, "doc_id long, __text string, __part int, __after int")
-    ordered = dealt.repartitionById(count, F.col("__part")).sortWithinPartitions("__after", "doc_id", F.xxhash64("__text"))
+    dealt = light.mapInArrow(deal, "doc_id long, __text string, __tie long, __part int, __after int")
+    ordered = dealt.repartitionById(count, F.col("__part")).sortWithinPartitions("__after", "doc_id", "__tie")
 
     def run(batches):
         last = None  # the latest row whose next is not known: id, text, digest

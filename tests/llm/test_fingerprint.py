@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tempora.llm import arrays as A
 from tempora.llm import fingerprint as P
@@ -79,3 +80,22 @@ def test_small_tables_nulls_repeats_and_clashes(spark):
     assert sorted(str(r["doc_id"]) for r in P.compare_with_edits(df).collect()) == ["1", "1", "1", "None"]
     out = P.fingerprints(frame(spark, ["x", None]).withColumnRenamed("lang", "fingerprint"))
     assert [r["fingerprint"] for r in out.orderBy("doc_id").collect()] == [P.text_of(one("x")), P.text_of(one(""))]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 4), st.integers(0, 5)), max_size=12), st.lists(st.tuples(st.integers(-1, 5), st.integers(-1, 6)), max_size=12))
+def test_ranges_before_counts_bounds(bounds, rows):
+    bounds = sorted(set(bounds))
+    b, r = np.array(bounds, np.int64).reshape(-1, 2), np.array(rows, np.int64).reshape(-1, 2)
+    assert P.ranges_before(b[:, 0], b[:, 1], r[:, 0], r[:, 1]).tolist() == [sum(x <= y for x in bounds) for y in rows]
+
+
+def test_rows_without_ids_are_dealt_by_their_texts(spark, monkeypatch):
+    texts = [prose(20, k) for k in range(150)] + ["long " + prose(30_000, 5)]
+    df = spark.createDataFrame([(None if k < 140 else k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    order = df.withColumn("h", F.xxhash64("text")).orderBy(F.col("doc_id").asc_nulls_first(), "h").collect()
+    expected = Counter()
+    for k, r in enumerate(order):
+        following, cut = order[(k + 1) % len(order)]["text"], len(r["text"]) // 4
+        expected[r["doc_id"], hashlib.sha256((r["text"][: len(r["text"]) - cut] + following[:cut]).encode()).hexdigest()] += 1
+    assert Counter((r["doc_id"], r["edited_sha256"]) for r in P.compare_with_edits(df).collect()) == expected
