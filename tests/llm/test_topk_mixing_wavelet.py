@@ -65,6 +65,23 @@ def test_bounds_drop_candidates_but_no_answers():
         assert ids.tolist() == best.tolist() and scores.tolist() == every[best].tolist()
 
 
+def test_blocks_of_small_norms_are_not_paired(spark, monkeypatch):
+    monkeypatch.setattr(topk, "CANDIDATES", 16)
+    monkeypatch.setattr(topk, "QUERIES", 4)
+    monkeypatch.setattr(topk, "STEPS", 5)
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rng.normal(size=24) * 0.8 ** (i // 10)]) for i in range(400)]
+    rows += [(1000 + i, [1e306] + [0.0] * 23) for i in range(2)]  # not finite when scaled
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    queries = df.where("vec_id % 5 = 0")
+    assert topk.block_pairs(df, queries, 5, "vec_id", "embedding", 256.0).count() < 0.7 * 25 * 20
+    out = topk.top_k(df, queries)
+    found = defaultdict(list)
+    for r in out.orderBy("query_id", "rank").collect():
+        found[r["query_id"]].append((r["rank"], r["vec_id"], r["score"]))
+    assert dict(found) == brute(rows[:400], {i for i, _ in rows if i % 5 == 0 and i < 400}, 5)
+
+
 def test_top_k_of_nothing(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.top_k(df, df).count() == 0
