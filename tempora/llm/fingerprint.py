@@ -45,7 +45,9 @@ PER_FILTER = 160
 SHORT_TEXT = 160
 SHORT_FEATURE = 6
 MARGIN = 0.3
-PART_BYTES = 64 << 20
+#: Bytes of text in a range, and the most ranges (beyond them ranges grow), whose bounds are broadcast.
+PART_BYTES = 16 << 20
+MOST_PARTS = 1 << 20
 
 _NONE = np.int64(1) << 62
 _U = np.uint64
@@ -196,12 +198,12 @@ def compare_with_edits(docs: DataFrame, text: str = "text", key: str = "doc_id")
 
     Documents are dealt to ranges of ids (and, where ids repeat or are null, of hashes of their texts); a range also gets the first
     document of the next one, the last range that of the first. So the texts are shuffled once and no task holds more than a range. Where
-    ranges begin is a row a range of PART_BYTES, no more than Spark itself keeps of a range partitioning.
+    ranges begin is a row a range, MOST_PARTS at most, no more than Spark itself keeps of a range partitioning.
     """
     spark = docs.sparkSession
     light = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("__text"))
     light = light.withColumn("__tie", F.xxhash64("__text"))
-    parts = max(4 * spark.sparkContext.defaultParallelism, -(-text_bytes(docs, f"`{text}`") // PART_BYTES))
+    parts = min(MOST_PARTS, max(spark.sparkContext.defaultParallelism, -(-text_bytes(docs, f"`{text}`") // PART_BYTES)))
 
     def least(batches):
         done = False
