@@ -27,6 +27,10 @@ DEPTH = 3
 BINS = 24
 LASSO = 0.002
 SEED = 7
+STEPS = 2000
+TOLERANCE = 1e-5
+#: Words that any prose of their language has.
+STOP_WORDS = "the of and to in is that for it as was with be by on not at are this have from or which de la le et les des un une du que qui der die und das den von ist zu mit el los las y por con para".split()
 
 
 def statistics(text: str) -> dict[str, Column]:
@@ -50,6 +54,8 @@ def statistics(text: str) -> dict[str, Column]:
         "digits": per(count("[0-9]"), chars),
         "distinct_lines": per(F.size(F.array_distinct(lines)).cast("double"), F.size(lines).cast("double")),
         "line_length": per(chars, F.size(lines).cast("double")),
+        "line_ends": per(F.size(F.array_remove(F.transform(lines, lambda x: F.endswith(F.rtrim(x), F.lit("."))), False)).cast("double"), F.size(lines).cast("double")),
+        "stop_words": F.size(F.array_intersect(words, F.array(*map(F.lit, STOP_WORDS)))).cast("double"),
     }
 
 
@@ -121,6 +127,40 @@ def _grow(codes: np.ndarray, edges: list[np.ndarray], residual: np.ndarray, hess
         _grow(codes, edges, residual, hessian, columns, depth + 1, (*path, (int(c), above, float(edges[c][b]))), side, out, least)
 
 
+def off(w: np.ndarray, slope: np.ndarray) -> float:
+    """How far weights are from the lasso's optimum: the slope of the loss must be LASSO against each weight, and at most that at 0."""
+    at = np.where(w != 0, np.abs(slope + LASSO * np.sign(w)), np.maximum(np.abs(slope) - LASSO, 0))
+    return float(at.max()) if len(at) else 0.0
+
+
+def weigh(b: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
+    """Lasso logistic weights and intercept of standardised columns, to TOLERANCE of the optimum."""
+    # accelerated proximal gradient; the step is 4 / the largest eigenvalue of b'b / n, bounded from above by power iteration
+    v = np.ones(b.shape[1], np.float32)
+    for _ in range(30):
+        v = b.T @ (b @ v)
+        v /= np.linalg.norm(v)
+    step = 4 / (1.05 * float(np.linalg.norm(b @ v)) ** 2 / len(y))
+    w, c, last, momentum = np.zeros(b.shape[1]), np.log(y.mean() / (1 - y.mean())), np.zeros(b.shape[1]), 1.0
+    u = w
+    for _ in range(STEPS):
+        p = 1 / (1 + np.exp(-(b @ u + c)))
+        slope = (b.T @ (p - y)) / len(y)
+        drift = float((p - y).mean())
+        if off(u, slope) < TOLERANCE and abs(drift) < TOLERANCE:
+            w = u
+            break
+        c -= 2.0 * drift
+        new = u - step * slope
+        w = np.sign(new) * np.maximum(np.abs(new) - step * LASSO, 0)
+        if (u - w) @ (w - last) > 0:  # the momentum points uphill: begin again without it
+            momentum = 1.0
+        after = (1 + np.sqrt(1 + 4 * momentum**2)) / 2
+        u = w + (momentum - 1) / after * (w - last)
+        last, momentum = w, after
+    return w, float(c)
+
+
 def fit(x: np.ndarray, y: np.ndarray, names: list[str]) -> RuleEnsemble:
     """Trees, their rules, and lasso logistic weights of the rules."""
     share = float(y.mean()) if len(y) else 0.5
@@ -156,23 +196,7 @@ def fit(x: np.ndarray, y: np.ndarray, names: list[str]) -> RuleEnsemble:
     if not every:
         return RuleEnsemble(names, float(np.log(share / (1 - share))))
     scale = np.sqrt(support * (1 - support)).astype(np.float32)
-    b = (a - support) / scale
-    # accelerated proximal gradient; the step is 4 / the largest eigenvalue of b'b / n, bounded from above by power iteration
-    v = np.ones(b.shape[1], np.float32)
-    for _ in range(30):
-        v = b.T @ (b @ v)
-        v /= np.linalg.norm(v)
-    step = 4 / (1.05 * float(np.linalg.norm(b @ v)) ** 2 / len(y))
-    w, c, last, momentum = np.zeros(b.shape[1]), np.log(share / (1 - share)), np.zeros(b.shape[1]), 1.0
-    u = w
-    for _ in range(400):
-        p = 1 / (1 + np.exp(-(b @ u + c)))
-        c -= 2.0 * float((p - y).mean())
-        new = u - step * (b.T @ (p - y)) / len(y)
-        w = np.sign(new) * np.maximum(np.abs(new) - step * LASSO, 0)
-        after = (1 + np.sqrt(1 + 4 * momentum**2)) / 2
-        u = w + (momentum - 1) / after * (w - last)
-        last, momentum = w, after
+    w, c = weigh((a - support) / scale, y)
     weights = w / scale
     model.intercept = float(c - (weights * support).sum())
     model.rules = [(r, float(x_)) for r, x_ in zip(every, weights, strict=True) if x_]
@@ -193,8 +217,11 @@ def score(docs: DataFrame, model: RuleEnsemble, text: str = "text", output: str
     """docs with the score of each text, 0 to 1, higher for better quality."""
     docs = spread(docs)
     columns = [c for c in docs.columns if c != output]
-    wide = docs.select(*[f"`{c}`" for c in columns], *[s.alias(f"__{n}") for n, s in statistics(text).items()])
-    return wide.select(*[f"`{c}`" for c in columns], model.column().alias(output))
+    stats = statistics(text)
+    wide = docs.select(*[F.col(f"`{c}`") for c in columns], *[s.alias(f"__one_{n}") for n, s in stats.items()])
+    # a generator of one row: no predicate on the score moves below it, where every rule would compute the statistics again
+    wide = wide.select(*[F.col(f"`{c}`") for c in columns], F.inline(F.array(F.struct(*[F.col(f"__one_{n}").alias(f"__{n}") for n in stats]))))
+    return wide.select(*[F.col(f"`{c}`") for c in columns], model.column().alias(output))
 
 
 def held_out(key: str, modulus: int, value: int) -> Column:

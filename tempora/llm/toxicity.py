@@ -5,6 +5,9 @@ beginnings of PREFIXES bytes, hashed to BUCKETS. A document is toxic if any sent
 likelihood of the documents' labels is maximised over all sentences at once, so the model finds by itself which sentences made a
 document toxic; offending() tells them.
 
+A document's score grows with the number of its sentences, as a noisy-or does; how little a plain sentence adds is learned from the
+longest clean documents among the labelled.
+
 Which features take part is decided by counts of documents of both labels over the labelled sample, in fixed arrays.
 
 Defined results: null and empty texts have no sentence and score 0; without labelled rows or with labels of one kind every

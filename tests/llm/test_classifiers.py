@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -53,8 +54,8 @@ def test_compiled_rules_score_as_the_model_does(spark, texts, labels):
 def test_degenerate_labels(spark, texts, labels):
     df = frame(spark, texts[:20])
     only = labels.withColumn("quality", F.lit(1)).withColumn("toxic", F.lit(0))
-    assert quality.train(df, only).predict(np.zeros((1, 11)))[0] > 0.99
-    assert quality.train(df, labels.limit(0)).predict(np.zeros((1, 11)))[0] == 0.5
+    assert quality.train(df, only).predict(np.zeros((1, len(quality.statistics("text")))))[0] > 0.99
+    assert quality.train(df, labels.limit(0)).predict(np.zeros((1, len(quality.statistics("text")))))[0] == 0.5
     assert max(r["score"] for r in toxicity.score(df, toxicity.train(df, only)).collect()) < 1e-6
     assert max(r["score"] for r in toxicity.score(df, toxicity.train(df, labels.limit(0))).collect()) < 1e-6
 
@@ -99,3 +100,79 @@ def test_sentences_and_edges(spark, toxic):
     told = toxicity.offending(df, (weights, 0.0), least=0.5).where("doc_id = 1").orderBy("sentence").collect()
     assert [r["text"] for r in told] == ["One two.", "Three", "four!", "...", "five"]
     assert toxicity.score(df.limit(0), (weights, 0.0)).count() == 0
+
+
+def test_lasso_weights_are_optimal():
+    rng = np.random.default_rng(1)
+    a = (rng.random((800, 40)) < rng.uniform(0.05, 0.6, 40)).astype(np.float32)
+    a[:, 7] = a[:, 3]  # equal rules
+    y = (rng.random(800) < 1 / (1 + np.exp(-(3 * a[:, 3] - 2 * a[:, 11] - 0.5)))).astype(float)
+    b = (a - a.mean(0)) / a.std(0)
+    w, c = quality.weigh(b, y)
+    p = 1 / (1 + np.exp(-(b @ w + c)))
+    assert quality.off(w, b.T @ (p - y) / len(y)) < 2 * quality.TOLERANCE and abs((p - y).mean()) < 2 * quality.TOLERANCE
+    loss = lambda w, c: np.logaddexp(0, b @ w + c).mean() - (y * (b @ w + c)).mean() + quality.LASSO * np.abs(w).sum()
+    best = loss(w, c)
+    assert 0 < (w != 0).sum() < 40
+    for _ in range(50):
+        assert loss(w + rng.normal(size=40) * rng.choice([1e-3, 1e-2, 0.1]), c) >= best - 1e-7
+
+
+def test_toxicity_fit_climbs_the_likelihood_of_the_noisy_or():
+    rng = np.random.default_rng(2)
+    n, width = 60, 5
+    label = (np.arange(n) % 3 == 0).astype(np.int32)
+    sentences = rng.integers(1, 6, n)
+    sentence = [sorted(rng.integers(0, m, 4).tolist()) for m in sentences]
+    feature = [[int(rng.integers(0, width - 1)) for _ in s] for s in sentence]
+    for k in range(0, n, 3):
+        feature[k][0] = width - 1
+    lists = [pa.array(x, pa.list_(pa.int32())) for x in (sentence, feature)]
+
+    def likelihood(w, bias):
+        total = 0.0
+        for k in range(n):
+            z = [bias] * int(sentences[k])
+            for s, f in zip(sentence[k], feature[k], strict=True):
+                z[s] += w[f]
+            clean = np.prod([1 - 1 / (1 + np.exp(-x)) for x in z])
+            total += np.log(max(1 - clean, 1e-9)) if label[k] else np.log(max(clean, 1e-9))
+        return total / n - 0.5e-6 * float(np.square(w).sum())
+
+    w, bias = toxicity.fit(label, sentences, *lists, width)
+    start = likelihood(np.zeros(width), -5.0)
+    reached = likelihood(w, bias)
+    assert reached > start and w.argmax() == width - 1
+    # the gradient by finite differences: no direction of one weight climbs much further
+    for k in range(width):
+        step = np.zeros(width)
+        step[k] = 1e-4
+        assert (likelihood(w + step, bias) - likelihood(w - step, bias)) / 2e-4 < 0.02
+
+
+def test_scores_of_odd_rows(spark, texts, labels):
+    model = quality.train(frame(spark, texts), labels)
+    long = ". ".join(prose(12, k) for k in range(4000)) + "."
+    rows = [(1, long, {"a": 1}), (1, long, {"a": 1}), (None, None, None), (None, "", {}), (2, "x" * 300_000, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, `__words` map<string,int>").withColumnRenamed("__words", "a.b")
+    found = quality.score(df, model).collect()
+    assert len(found) == 5 and len({r["score"] for r in found if r["doc_id"] == 1}) == 1 and len({r["score"] for r in found if r["doc_id"] is None}) == 1
+    assert quality.score(df.limit(0), model).count() == 0
+    plan = quality.score(df, model).where("score >= 0.5")._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Filter") < plan.index("Generate")  # the predicate stays above the statistics
+    toxic = toxicity.train(frame(spark, texts), labels)
+    scored = toxicity.score(df, toxic).collect()
+    assert len(scored) == 5 and scored[0].asDict().keys() == {"doc_id", "text", "a.b", "score"}
+
+
+def test_many_clean_sentences_stay_clean_where_labelled_texts_are_long_too(spark, toxic):
+    clean = [t.strip(". ") for k, t in enumerate(toxic) if k % 5]
+    rng = random.Random(6)
+    long = [". ".join(rng.choice(clean) for _ in range(400)) for _ in range(12)]
+    df = frame(spark, [*toxic, *long])
+    labels = spark.createDataFrame([(k, int(k % 5 == 0 and k < len(toxic))) for k in range(len(toxic) + len(long))], "doc_id long, toxic int")
+    model = toxicity.train(df, labels)
+    clean = ". ".join(clean[:300])
+    rows = [(1, clean), (2, clean + ". you moron " + prose(4, 1) + ".")]
+    found = {r["doc_id"]: r["score"] for r in toxicity.score(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    assert found[1] < 0.3 < found[2]
