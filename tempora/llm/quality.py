@@ -28,7 +28,7 @@ BINS = 24
 LASSO = 0.002
 SEED = 7
 STEPS = 2000
-TOLERANCE = 1e-5
+TOLERANCE = 1e-4
 #: Words that any prose of their language has.
 STOP_WORDS = "the of and to in is that for it as was with be by on not at are this have from or which de la le et les des un une du que qui der die und das den von ist zu mit el los las y por con para".split()
 
@@ -144,8 +144,8 @@ def weigh(b: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
     w, c, last, momentum = np.zeros(b.shape[1]), np.log(y.mean() / (1 - y.mean())), np.zeros(b.shape[1]), 1.0
     u = w
     for _ in range(STEPS):
-        p = 1 / (1 + np.exp(-(b @ u + c)))
-        slope = (b.T @ (p - y)) / len(y)
+        p = 1 / (1 + np.exp(-(b @ u.astype(b.dtype) + c)))
+        slope = (b.T @ (p - y).astype(b.dtype)) / len(y)
         drift = float((p - y).mean())
         if off(u, slope) < TOLERANCE and abs(drift) < TOLERANCE:
             w = u

@@ -7,6 +7,7 @@ import gc
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,7 +25,9 @@ def shared_folder(spark: SparkSession) -> str:
             base = spark._tempora_folder = f"file://{folder}"
     if not getattr(spark, "_tempora_run", "").startswith(base):
         spark._tempora_run = f"{base.rstrip('/')}/tempora/{uuid.uuid4().hex}"
-    return f"{spark._tempora_run}/{uuid.uuid4().hex}"
+    path = f"{spark._tempora_run}/{uuid.uuid4().hex}"
+    spark.__dict__.setdefault("_tempora_made", []).append(path)
+    return path
 
 
 def stash(df: DataFrame) -> DataFrame:
@@ -36,6 +39,18 @@ def stash(df: DataFrame) -> DataFrame:
     return found
 
 
+def settled(spark: SparkSession, build: Callable[[], DataFrame]) -> DataFrame:
+    """stash(build()), without the tables and files that were made to build it."""
+    made = spark.__dict__.setdefault("_tempora_made", [])
+    start = len(made)
+    out = stash(build())
+    for path in made[start:]:
+        if path != out._tempora_path:
+            remove(spark, path)
+    made[start:] = [out._tempora_path]
+    return out
+
+
 def discard(*stashed: DataFrame) -> None:
     """Delete stashed tables that no plan will read any more (only what stash() itself gave)."""
     for df in stashed:
@@ -53,6 +68,7 @@ def clean(spark: SparkSession) -> None:
     if hasattr(spark, "_tempora_run"):
         remove(spark, spark._tempora_run)
         del spark._tempora_run
+        spark._tempora_made.clear()
 
 
 #: Bytes of input a core reads without having rows dealt to it.

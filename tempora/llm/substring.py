@@ -211,13 +211,15 @@ def _chunked(docs: DataFrame, text: str) -> DataFrame:
     return stash(spread(wide).mapInArrow(number, schema))
 
 
-def remove_repeats(docs: DataFrame, text: str = "text", *, keep_text: bool = True) -> DataFrame:
+def remove_repeats(docs: DataFrame, text: str = "text", *, keep_text: bool = True, prefix: str = "") -> DataFrame:
     """Rows of docs with n_words, n_removed and, as the text, the kept words joined by one space (unchanged where none is removed).
 
-    With keep_text False the text column is dropped and kept_sha256 tells the digest of the kept words joined by one space.
+    With keep_text False the text column is dropped and kept_sha256 tells the digest of the kept words joined by one space. The names
+    of added columns begin with the prefix. Runs jobs when it is called.
     """
     spark, docs, text = docs.sparkSession, plain(docs), plain_name(text)
-    added = ["n_words", "n_removed"] + ([] if keep_text else ["kept_sha256"])
+    n_words, n_removed, sha = (prefix + c for c in ("n_words", "n_removed", "kept_sha256"))
+    added = [n_words, n_removed] + ([] if keep_text else [sha])
     passed = [f for f in docs.schema.fields if f.name not in added and (keep_text or f.name != text)]
     names = [f.name for f in passed]
     rows = _chunked(docs.select(*[F.col(f"`{n}`") for n in names if n != text], F.col(f"`{text}`")), text)
@@ -236,7 +238,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", *, keep_text: bool = Tru
 
     _answered(light.mapInArrow(second, _SENT), ranges, folder, 2)
     release(spark)
-    schema = T.StructType([T.StructField(f.name, T.StringType() if f.name == text else f.dataType) for f in passed] + [T.StructField(n, T.StringType() if n == "kept_sha256" else T.LongType()) for n in added])
+    schema = T.StructType([T.StructField(f.name, T.StringType() if f.name == text else f.dataType) for f in passed] + [T.StructField(n, T.StringType() if n == sha else T.LongType()) for n in added])
 
     def third(batches):
         answers = _Answers(folder)
@@ -248,11 +250,11 @@ def remove_repeats(docs: DataFrame, text: str = "text", *, keep_text: bool = Tru
                     found = [_kept(Words(data, offsets, a + c + i, a + c + j), int(numbers[a]), answers) for i, j in slices(offsets[a + c : a + d + 1])]
                     part = batch.slice(a + c, d - c)
                     removed = np.concatenate([x[1] for x in found])
-                    columns = {"n_words": pa.array(np.concatenate([x[0] for x in found])), "n_removed": pa.array(removed)}
+                    columns = {n_words: pa.array(np.concatenate([x[0] for x in found])), n_removed: pa.array(removed)}
                     if keep_text:
                         columns[text] = _texts(part["__text"], removed, [x[2:] for x in found])
                     else:
-                        columns["kept_sha256"] = pa.array([y for x in found for y in _digests(*x[2:])], pa.string())
+                        columns[sha] = pa.array([y for x in found for y in _digests(*x[2:])], pa.string())
                     yield pa.RecordBatch.from_arrays([columns[n] if n in columns else part[n] for n in schema.names], names=schema.names)
 
     return named(rows.mapInArrow(third, schema))

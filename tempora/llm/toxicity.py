@@ -101,9 +101,13 @@ def _counts(rows: DataFrame, text: str) -> tuple[np.ndarray, np.ndarray]:
             total += np.bincount(label, minlength=2)[:2]
         yield pa.RecordBatch.from_pydict({"k": pa.array([0, 1], pa.int32()), "n": pa.array(total), "has": pa.array([zlib.compress(x.tobytes(), 1) for x in has])})
 
+    def add(found: pa.Table) -> pa.Table:
+        has = sum(np.frombuffer(zlib.decompress(x), np.uint32) for x in found["has"].to_pylist())
+        return pa.table({"k": found["k"][:1], "n": pa.array([sum(found["n"].to_pylist())]), "has": pa.array([zlib.compress(has.tobytes(), 1)])})
+
     n, has = np.zeros(2, np.int64), np.zeros((2, BUCKETS), np.uint32)
     kind = "k int, n long, has binary"
-    for r in rows.mapInArrow(count, kind).toLocalIterator():  # a fixed array a task of the sample
+    for r in rows.mapInArrow(count, kind).groupBy("k").applyInArrow(add, kind).collect():  # two fixed arrays
         n[r["k"]] += r["n"]
         has[r["k"]] += np.frombuffer(zlib.decompress(r["has"]), np.uint32)
     return n, has

@@ -12,6 +12,8 @@ import corpus_pipeline as pipeline
 from tempora.llm import queries as Q
 from tempora.llm import storage
 
+from .helpers import prose
+
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
 
@@ -66,3 +68,51 @@ def test_pipeline_stages(spark):
 def test_run_gives_the_last_stage(spark):
     out = pipeline.run(spark, FOLDER)
     assert out.columns[-1] == "piece_ids" and out.count() > 0
+
+
+def odd_tables(spark, folder, docs, labels):
+    extra = "score double, copies int, class_id string, n_words int, group string, m map<string,int>, `x.y` int"
+    spark.createDataFrame([(*d, 1.5, 7, "c", None, None, {"k": 1}, 3) for d in docs], f"doc_id long, text string, lang string, source string, n_chars long, {extra}").write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+
+
+def test_pipeline_of_odd_rows(spark, tmp_path):
+    passage = prose(50, 500)
+    texts = [f"{prose(60, k)} {passage if k % 9 == 0 else prose(50, 600 + k)} {prose(20, 900 + k)}" for k in range(60)]
+    docs = [(k, t, "en", f"s{k % 2}", len(t)) for k, t in enumerate(texts)]
+    docs += [(0, texts[0], "en", "s0", len(texts[0]))] * 3 + [(None, texts[5] + " end", None, None, None), (None, None, None, None, None), (70, "", "en", "s1", 0), (71, "  ", None, "s1", 2), (72, prose(20_000, 72), "en", "s1", 1)]
+    odd_tables(spark, str(tmp_path), docs, [(None, None, None)])
+    table = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    kept = [table]
+    for _, stage in pipeline.STAGES[:-1]:
+        kept.append(storage.stash(stage(spark, kept[-1], str(tmp_path))))
+        assert kept[-1].columns == table.columns and [f.dataType for f in kept[-1].schema] == [f.dataType for f in table.schema]
+    assert kept[1].count() == len(docs)
+    groups = kept[2].collect()
+    assert len(groups) == len(docs) - 4 and Counter(r["doc_id"] for r in groups)[0] == 1
+    lost = {r["doc_id"] for r in kept[3].collect() if r["text"] and passage not in r["text"]} & {0, 9, 18, 27, 36, 45, 54}
+    assert lost == {0, 9, 18, 27, 36, 45, 54}
+    out = pipeline.STAGES[-1][1](spark, kept[4], str(tmp_path)).collect()
+    assert all(r["m"] == {"k": 1} and r["x.y"] == 3 and (r["piece_ids"] == []) == (not r["text"]) for r in out)
+
+
+def test_queries_and_pipeline_of_empty_tables(spark, tmp_path):
+    odd_tables(spark, str(tmp_path), [], [])
+    spark.createDataFrame([], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame([], "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    assert pipeline.run(spark, str(tmp_path)).count() == 0
+    for name, query in Q.QUERIES.items():
+        assert query(spark, str(tmp_path)).count() == 0, name
+
+
+def test_clean_up(spark):
+    storage.shared_folder(spark)
+    old, spark._tempora_run = spark._tempora_run, spark._tempora_run + "-clean"  # not that of other tests
+    try:
+        folder = spark._tempora_run.removeprefix("file://")
+        one = storage.settled(spark, lambda: storage.stash(spark.range(5)).where("id > 1"))
+        assert one.count() == 3 and len(os.listdir(folder)) == 1
+        storage.clean(spark)
+        assert not os.path.exists(folder)
+    finally:
+        spark._tempora_run = old
