@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from .arrays import Words, mix, prefix_sums, range_hashes, slices, utf8, window_hashes
 from .components import components
-from .storage import discard, release, spread, stash
+from .storage import discard, identified, release, row_hash, spread, stash
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -356,11 +356,10 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", th
     return found.select(F.col("key").alias(key), "class_id")
 
 
-def _grouped(light: DataFrame, threshold: float, number: str | None = None) -> DataFrame:
+def _grouped(light: DataFrame, threshold: float, more: tuple[str, ...] = ()) -> DataFrame:
     """key, class_id and group of each row of light (__key, __text): group tells groups apart where ids repeat, and is null where a
-    row without words is a group of its own. With number, a long column of light, also that."""
+    row without words is a group of its own. Also more, long columns of light."""
     spark = light.sparkSession
-    more = [number] if number else []
     # the id and a hash of the text tell a row to fetch: neither a null id nor one that many rows share is a hot key
     light = spread(light).select("__key", "__text", *more, F.xxhash64("__text").alias("__hash"))
     weights = spark.sparkContext.broadcast(frequent_shingles(light))  # at most FREQUENT numbers twice, and WIDTH bits
@@ -466,14 +465,13 @@ def _across(spark, found: DataFrame, linked_: DataFrame, wanted: DataFrame, fetc
 
 
 def keep_first(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """One row of docs a near-duplicate group, the first by id (null first), hash of the row and number; rows without words all stay.
+    """One row of docs a near-duplicate group, the first by id (null first), hash of the row and place in its file; rows without words all stay.
 
-    Rows are numbered once, on disk, so that ids may repeat or be null and no join meets a key that many rows share."""
+    Rows are told apart by their places, so ids may repeat or be null and no join meets a key that many rows share."""
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    numbered = stash(docs.select(*columns, F.xxhash64(*(F.to_json(F.struct(c)) for c in columns)).alias("__hash"), F.monotonically_increasing_id().alias("__number")))
-    light = numbered.select(F.col(f"`{key}`").cast("long").alias("__key"), F.col(f"`{text}`").cast("string").alias("__text"), "__number")
-    hashes = numbered.select("__number", "__hash")
-    found = stash(_grouped(light, THRESHOLD, "__number").join(hashes, "__number"))
-    first = found.where(F.col("group").isNotNull()).groupBy("group").agg(F.min(F.struct("key", "__hash", "__number")).alias("first")).select("first.__number")
-    kept = first.unionByName(found.where(F.col("group").isNull()).select("__number"))
-    return numbered.join(kept, "__number", "left_semi").select(*columns)
+    placed, place = identified(docs), ("__file", "__row")
+    light = placed.select(F.col(f"`{key}`").cast("long").alias("__key"), F.col(f"`{text}`").cast("string").alias("__text"), *place, row_hash(docs).alias("__whole"))
+    found = stash(_grouped(light, THRESHOLD, (*place, "__whole")))
+    first = found.where(F.col("group").isNotNull()).groupBy("group").agg(F.min(F.struct("key", "__whole", *place)).alias("first")).select("first.__file", "first.__row")
+    kept = first.unionByName(found.where(F.col("group").isNull()).select(*place))
+    return placed.join(kept, list(place), "left_semi").select(*columns)

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .storage import stash
+from .storage import identified, row_hash, stash
 
 WEIGHTS = (3, 1, 2)
 #: BUDGET is a ratio of whole numbers.
@@ -91,13 +91,13 @@ def mix_copies(rows: DataFrame, size: str = "size", source: str = "source", key:
 def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id", *, weights: tuple[int, ...] = WEIGHTS, seed: int = 0) -> DataFrame:
     """The rows of docs, each as often as the mix takes it; rows that repeat are ranked one by one. Runs jobs when it is called.
 
-    Rows are numbered once, on disk. Only numbers, ids, hashes of the rows, sources and sizes are ranked; texts move once, in the join with the copies.
+    Only places of rows in their files, ids, hashes of the rows, sources and sizes are ranked; texts move once, in the join with the copies.
     """
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    numbered = stash(docs.select(*columns, F.xxhash64(*(F.to_json(F.struct(c)) for c in columns)).alias("__row"), F.monotonically_increasing_id().alias("__number")))
-    light = numbered.select("__number", "__row", F.col(f"`{key}`").alias("__key"), F.col(f"`{source}`").alias("__source"), word_count(text).alias("__size"))
-    copies = mix_copies(light, "__size", "__source", "__key", weights=weights, seed=seed, ties=("__row", "__number")).where("copies > 0").select("__number", F.col("copies").alias("__copies"))
-    repeated = numbered.join(copies, "__number").withColumn("__again", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
+    placed, place = identified(docs), ("__file", "__row")
+    light = placed.select(*place, row_hash(docs).alias("__whole"), F.col(f"`{key}`").alias("__key"), F.col(f"`{source}`").alias("__source"), word_count(text).alias("__size"))
+    copies = mix_copies(light, "__size", "__source", "__key", weights=weights, seed=seed, ties=("__whole", *place)).where("copies > 0").select(*place, F.col("copies").alias("__copies"))
+    repeated = placed.join(copies, list(place)).withColumn("__again", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
     return repeated.select(*columns)
 
 

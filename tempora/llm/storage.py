@@ -9,7 +9,8 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -71,6 +72,28 @@ def clean(spark: SparkSession) -> None:
         spark._tempora_made.clear()
 
 
+def reads_files(df: DataFrame) -> bool:
+    """Whether df is columns and rows of one table of files, each row at most once."""
+    node = df._jdf.queryExecution().analyzed()
+    while node.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        node = node.children().apply(0)
+    return node.nodeName() in ("LogicalRelation", "Relation parquet") and bool(df.inputFiles())
+
+
+def identified(df: DataFrame) -> DataFrame:
+    """df with __file and __row, two numbers that tell its rows apart, the same whenever it is read: from the files' own row numbers
+    where df reads files, otherwise from a copy that is written for it."""
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    if reads_files(df):
+        return df.select(*columns, F.xxhash64("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
+    return stash(df.select(*columns, F.lit(0).cast("long").alias("__file"), F.monotonically_increasing_id().alias("__row")))
+
+
+def row_hash(df: DataFrame) -> Column:
+    """A hash of all columns of a row, of any types."""
+    return F.xxhash64(*(F.to_json(F.struct(F.col(f"`{f.name}`"))) if "map<" in f.dataType.simpleString() else F.col(f"`{f.name}`") for f in df.schema.fields))
+
+
 #: Bytes of input a core reads without having rows dealt to it.
 CORE_BYTES = 64 << 20
 
@@ -92,8 +115,6 @@ def release(spark: SparkSession) -> None:
 
 def text_bytes(docs: DataFrame, text: str) -> int:
     """Bytes of UTF-8 in a column; sizes chunks, never decides what is processed."""
-    from pyspark.sql import functions as F
-
     return docs.agg(F.sum(F.octet_length(F.col(text).cast("string")))).first()[0] or 0
 
 

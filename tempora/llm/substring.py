@@ -11,7 +11,8 @@ cover. As PERIOD - 1 + ANCHOR = WIDTH, two equal windows hold two equal, equally
 2. only the windows around those anchors (the anchor extended to WIDTH words) are hashed and counted;
 3. the words under the windows that occur twice or more go.
 
-Texts are written once, with the number of their chunk, and never shuffled: every step reads them where they lie. A chunk sends
+Texts are never shuffled: every step reads them where they lie, with the number of their chunk (from their places in the files they are
+read from, or written for it). A chunk sends
 the sorted hashes it holds (each at most twice) to ranges of hashes, as one message a range that it has any of, so messages
 are never more than hashes; a range tells each chunk which of its hashes repeat, and the answers of a chunk are a file in the
 shared folder that its readers open. A hash that occurs in a third of all texts is two entries a chunk, so no task
@@ -32,7 +33,7 @@ from pyspark.sql import types as T
 
 from .arrays import SLICE_BYTES, Words, prefix_sums, slices, utf8, window_hashes
 from .columns import named, plain, plain_name
-from .storage import exists, read_file, release, shared_folder, spread, stash, text_bytes, write_file
+from .storage import exists, identified, read_file, reads_files, release, shared_folder, spread, stash, text_bytes, write_file
 
 WIDTH = 35
 PERIOD = 21
@@ -42,6 +43,8 @@ ANCHOR = WIDTH - PERIOD + 1
 #: Bytes of text whose hashes a task holds and sends together, and that a range of hashes stands for.
 CHUNK_BYTES = 32 << 20
 LEAST_RANGES = 64
+#: Rows of a file in a chunk (a power of two).
+CHUNK_ROWS = 4096
 #: Bytes of text a record batch of results holds.
 OUT_BYTES = 4 << 20
 
@@ -189,8 +192,12 @@ def _answered(messages: DataFrame, ranges: int, folder: str, kind: int) -> None:
 
 
 def _chunked(docs: DataFrame, text: str) -> DataFrame:
-    """docs, stashed, with __text and __chunk: consecutive rows of one task with about CHUNK_BYTES of text."""
+    """docs with __text and __chunk: CHUNK_ROWS consecutive rows of a file, told by their places in it; where docs does not read files,
+    consecutive rows of one task with about CHUNK_BYTES of text, written for it."""
     rest = [f for f in docs.schema.fields if f.name != text]
+    if spread(docs) is docs and reads_files(docs):
+        placed = identified(docs)
+        return placed.select(*[F.col(f"`{f.name}`") for f in rest], F.col(f"`{text}`").cast("string").alias("__text"), F.xxhash64("__file", F.shiftright("__row", CHUNK_ROWS.bit_length() - 1)).alias("__chunk"))
     wide = docs.select(*[F.col(f"`{f.name}`") for f in rest], F.col(f"`{text}`").cast("string").alias("__text"))
     schema = T.StructType([*rest, T.StructField("__text", T.StringType()), T.StructField("__chunk", T.LongType())])
 

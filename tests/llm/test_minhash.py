@@ -153,14 +153,19 @@ def test_weights_depend_on_shares_of_texts(spark, monkeypatch):
         assert weights.idf(ids).tolist() == [1.0] * 36 and weights.idf(ids + np.uint64(1)).tolist() == [2.0] * 36
 
 
-def test_one_row_of_each_group_is_kept(spark):
+def test_one_row_of_each_group_is_kept(spark, tmp_path):
     a, b, c = (prose(60, k) for k in (1, 2, 3))
     near = a.rsplit(" ", 1)[0] + " changed"
     texts = [(2, a), (2, a), (7, near), (5, b), (5, c), (3, c), (None, b), (None, b), (None, prose(60, 4)), (8, ""), (9, None)]
-    df = spark.createDataFrame([(i, t, "en", f"s{k}", 1) for k, (i, t) in enumerate(texts)] + [(2, a, "en", "s0", 1)], SCHEMA).withColumn("group", F.lit("clash"))
+    df = spark.createDataFrame([(i, t, "en", f"s{k}", 1) for k, (i, t) in enumerate(texts)] + [(2, a, "en", "s0", 1)], SCHEMA).withColumn("group", F.lit("clash")).withColumn("m", F.create_map(F.lit("k"), F.col("n_chars")))
     kept = M.keep_first(df)
     assert kept.columns == df.columns
     assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == Counter([(2, a), (3, c), (None, b), (None, prose(60, 4)), (8, ""), (9, None)])
+    df.repartition(3).write.parquet(f"{tmp_path}/docs")
+    again = spark.read.parquet(f"{tmp_path}/docs")
+    for table in (again, again.unionByName(again), again.where("doc_id is not null").select("text", "doc_id", "m")):
+        rows = Counter((r["doc_id"], r["text"]) for r in M.keep_first(table).collect())
+        assert set(rows) - {(None, b), (5, b), (None, prose(60, 4))} == {(2, a), (3, c), (8, ""), (9, None)} and all(n == 1 for (i, t), n in rows.items() if t)
     stage = corpus_pipeline.near_dedup(spark, df.where("doc_id = 2"), "")
     assert [(r["doc_id"], r["text"]) for r in stage.collect()] == [(2, a)]
 

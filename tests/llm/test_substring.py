@@ -98,3 +98,18 @@ def test_maps_dots_and_other_text_columns(spark):
     out = S.remove_repeats(df, "body")
     assert out.columns == ["body", "m", "x.y", "n_words", "n_removed"]
     assert sorted((r["x.y"] or 0, r["m"], r["body"], r["n_removed"]) for r in out.collect()) == [(0, {}, prose(9, 2), 0), (2, {"a": 1}, "", 40), (3, None, "", 40)]
+
+
+def test_tables_read_from_files_are_not_copied(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(S, "CHUNK_ROWS", 4)
+    t = texts()
+    frame(spark, t).repartition(6).write.parquet(f"{tmp_path}/docs")
+    df = spark.read.parquet(f"{tmp_path}/docs")
+    monkeypatch.setattr(S, "spread", lambda x: x)
+    assert len({r["__chunk"] for r in S._chunked(df, "text").collect()}) >= 9
+    found = {r["doc_id"]: r for r in S.remove_repeats(df, keep_text=False).collect()}
+    for k, (n, gone, kept) in brute(t).items():
+        assert (found[k]["n_words"], found[k]["n_removed"]) == (n, gone), k
+        assert found[k]["kept_sha256"] == hashlib.sha256(" ".join(kept).encode()).hexdigest(), k
+    twice = df.unionByName(df.where("doc_id = 25"))  # no table of files, but a union of two
+    assert {r["n_removed"] for r in S.remove_repeats(twice, keep_text=False).where("doc_id = 25").collect()} == {85}
