@@ -46,3 +46,12 @@ def test_iso_date_has_every_order(spark, tmp_path):
     spark.createDataFrame([(k,) for k in keys], "o_orderkey long").write.parquet(f"{tmp_path}/orders.parquet")
     found = {r["o_orderkey"]: r["day"] for r in QUERIES["iso_date"](spark, str(tmp_path)).collect()}
     assert sorted(found) == keys and found[1] == "1970-01-02" and all(found.values())
+
+
+def test_asof_reaches_the_scan(spark):
+    plan = QUERIES["asof_active"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert "LessThan(l_shipdate" in plan.split("PushedFilters: ")[1].split("ReadSchema")[0]
+
+
+def test_recursive_tree_reaches_every_part(spark):
+    assert QUERIES["recursive_tree"](spark, FOLDER).count() == spark.read.parquet(f"{FOLDER}/part.parquet").count()
