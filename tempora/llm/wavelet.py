@@ -33,6 +33,8 @@ MAGIC = b"WVM1"
 PART_BYTES = 16 << 20
 SHARD_TOKENS = 8 << 20
 BLOCK = 512
+#: Ids that move from a plane's order to the next one's at a time: their places stay in cache, whatever the size of a shard.
+STEP = 1 << 16
 
 _MANIFEST = "shard string, n_docs long, n_tokens long"
 
@@ -50,9 +52,15 @@ class WaveletMatrix:
         for b in range(bits - 1, -1, -1):
             one = (current & current.dtype.type(1 << b)) != 0
             planes.append(np.packbits(one))
-            low = current[~one]
-            zeros.append(len(low))
-            current = np.concatenate([low, current[one]])
+            zeros.append(len(one) - int(np.count_nonzero(one)))
+            below, low, high = np.empty_like(current), 0, zeros[-1]
+            for a in range(0, len(one), STEP):
+                part, bits_set = current[a : a + STEP], one[a : a + STEP]
+                clear, rest = part.compress(~bits_set), part.compress(bits_set)
+                below[low : low + len(clear)] = clear
+                below[high : high + len(rest)] = rest
+                low, high = low + len(clear), high + len(rest)
+            current = below
         return cls(planes, zeros, len(ids))
 
     def ids(self) -> np.ndarray:
@@ -60,11 +68,14 @@ class WaveletMatrix:
         dtype = np.uint16 if self.bits <= 16 else np.uint32
         current = np.zeros(self.n, dtype)
         for level in range(self.bits - 1, -1, -1):
-            one = np.unpackbits(self.planes[level], count=self.n).view(bool)
-            above = np.empty(self.n, dtype)
-            z = self.zeros[level]
-            above[~one] = current[:z]
-            above[one] = current[z:] | dtype(1 << (self.bits - 1 - level))
+            above, low, high = np.empty(self.n, dtype), 0, self.zeros[level]
+            for a in range(0, self.n, STEP):
+                one = np.unpackbits(self.planes[level][a // 8 : (a + STEP) // 8], count=min(STEP, self.n - a)).view(bool)
+                clear, rest = np.flatnonzero(~one), np.flatnonzero(one)
+                part = above[a : a + STEP]
+                part[clear] = current[low : low + len(clear)]
+                part[rest] = current[high : high + len(rest)] | dtype(1 << (self.bits - 1 - level))
+                low, high = low + len(clear), high + len(rest)
             current = above
         return current
 

@@ -167,6 +167,21 @@ def test_ids_equal_those_of_whole_texts(texts):
         assert found.tolist() == whole.encode(t, add_special_tokens=False).ids
 
 
+def test_planes_of_more_ids_than_move_at_a_time():
+    rng = np.random.default_rng(3)
+    for n in (V.STEP - 1, V.STEP, V.STEP + 1, 2 * V.STEP + 77):
+        ids = rng.integers(0, 49_000, n).astype(np.uint16)
+        w = V.unpack(V.pack([1], np.array([n]), ids, 16))[2]
+        assert (w.ids() == ids).all()
+        order, expected = ids.copy(), []
+        for b in range(15, -1, -1):
+            one = order >> b & 1 == 1
+            expected.append((int((~one).sum()), np.packbits(one)))
+            order = np.concatenate([order[~one], order[one]])
+        assert all(z == x and (p == y).all() for z, p, (x, y) in zip(w.zeros, w.planes, expected, strict=True))
+        assert w.access(n - 1) == ids[-1] and w.occurrences(int(ids[0])) == np.flatnonzero(ids == ids[0]).tolist()
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 40), max_size=1500), st.integers(6, 9))
 def test_wavelet_matrix_equals_the_list(values, bits):
