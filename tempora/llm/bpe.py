@@ -60,9 +60,13 @@ class Encoder:
             return data, words.starts, words.ends, words.row
         other = np.zeros(len(data) + 1, np.int32)
         np.cumsum((kind == 0) & ~IS_SPACE[data], out=other[1:])
-        changes = np.flatnonzero(kind[1:] != kind[:-1]) + 1
-        after = np.searchsorted(changes, words.starts, "right")  # each word's first change after its first byte
-        inside = np.searchsorted(changes, words.ends) - after
+        change = np.zeros(len(data), bool)
+        np.not_equal(kind[1:], kind[:-1], out=change[1:])
+        changes = np.flatnonzero(change)
+        turns = np.zeros(len(data) + 1, np.int32)  # changes before each byte
+        np.cumsum(change, out=turns[1:])
+        after = turns[words.starts + 1]  # each word's first change after its first byte
+        inside = turns[words.ends] - after
         cut = (inside == 1) & (other[words.ends] == other[words.starts]) & (kind[words.starts] == 1)
         at = changes[after[cut]]
         n = len(words.starts) + len(at)
